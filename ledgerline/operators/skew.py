@@ -3,46 +3,57 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HEAVY_SHARE = 1 / 200
 SALTS = 32
 
 
-def heavy_keys(counts: DataFrame, key: str, n: str, share: float = HEAVY_SHARE) -> list:
+def heavy_keys(counts: DataFrame, keys: Sequence[str], n: str, share: float = HEAVY_SHARE) -> list[tuple]:
     """Keys that hold more than ``share`` of all rows: at most ``1/share`` of them."""
     total = counts.agg(F.sum(n)).first()[0] or 0
-    rows = counts.filter((F.col(n) > total * share) & F.col(key).isNotNull()).select(key)
-    return [r[0] for r in rows.limit(int(1 / share) + 1).collect()]
+    rows = counts.filter(F.col(n) > total * share).dropna(subset=list(keys)).select(*keys)
+    return [tuple(row) for row in rows.limit(int(1 / share) + 1).collect()]
+
+
+def _is_one_of(keys: Sequence[str], tuples: list[tuple]) -> Column:
+    if len(keys) == 1:
+        return F.col(keys[0]).isin([t[0] for t in tuples])
+    found = F.lit(False)
+    for t in tuples:
+        found = found | reduce(and_, (F.col(k) == F.lit(v) for k, v in zip(keys, t)))
+    return found
 
 
 def salted_lookup(
     left: DataFrame,
     counts: DataFrame,
-    key: str,
+    keys: str | Sequence[str],
     n: str,
     take: Sequence[str],
     how: str = "left",
     share: float = HEAVY_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Look up ``take`` by ``key`` (unique in ``counts``).
+    """Look up ``take`` by ``keys`` (unique in ``counts``).
 
     The heavy keys come from the counts themselves. Their rows are spread over ``salts``
     partitions and the matching lookup rows are repeated as often, so no task receives
-    a whole heavy key; rows of a NULL key are spread the same way.
+    a whole heavy key; rows with a NULL key are spread the same way.
     """
-    hot = heavy_keys(counts, key, n, share)
-    lookup = counts.select(key, *take)
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    hot = heavy_keys(counts, keys, n, share)
+    lookup = counts.select(*keys, *take)
     if not hot:
-        return left.join(lookup, key, how)
+        return left.join(lookup, keys, how)
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
-    is_hot = F.col(key).isin(hot)
-    salted = left.withColumn(
-        "_salt", F.when(is_hot | F.col(key).isNull(), spread).otherwise(F.lit(0))
-    )
+    is_hot = _is_one_of(keys, hot)
+    no_key = reduce(or_, (F.col(k).isNull() for k in keys))
+    salted = left.withColumn("_salt", F.when(is_hot | no_key, spread).otherwise(F.lit(0)))
     repeats = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copies = lookup.withColumn("_salt", F.explode(repeats))
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")

@@ -152,6 +152,7 @@ class ModelParams:
     neighbours: int = 10
     forest_trees: int = 200
     forest_leaf: int = 20
+    forest_depth: int = 12
     boost_rounds: int = 150
     boost_rate: float = 0.05
     boost_depth: int = 6
