@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("revenue_features", "revenue_profile", "revenue_diagnostics")
+MODULES = ("revenue_features", "revenue_profile", "revenue_diagnostics", "graph")
 
 
 def _catalogues():

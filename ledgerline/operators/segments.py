@@ -1,4 +1,4 @@
-"""Ordered work (row numbers, running sums, previous value) over groups of any size.
+"""Ordered work (row numbers, running sums and minima, previous value) over groups of any size.
 
 A plain window sends a whole group to one task. That is fine while the largest group is
 small, and its size is checked. Beyond the limit the rows are range-partitioned by
@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.session import materialise
@@ -59,6 +59,23 @@ def _link(df: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(renamed, condition, "left").drop("_s", SEGMENT, *[f"_k_{k}" for k in keys])
 
 
+def _running(df, keys, order, value, out, how, group_rows, segment_rows) -> DataFrame:
+    fold = {"sum": F.sum, "min": F.min}[how]
+    join_up = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + b, "min": F.least}[how]
+    order_cols = [F.col(c) for c in order]
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    if _fits(df, keys, group_rows):
+        return df.withColumn(out, fold(value).over(_whole(keys).orderBy(*order_cols).rowsBetween(*upto)))
+    parts = _segmented(df, keys, order, segment_rows)
+    totals = parts.groupBy(*keys, SEGMENT).agg(fold(value).alias("_t"))
+    before = _whole(keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    facts = totals.withColumn("_base", fold("_t").over(before)).drop("_t")
+    inside = Window.partitionBy(*[F.col(k) for k in keys], F.col(SEGMENT)).orderBy(*order_cols)
+    local = parts.withColumn("_run", fold(value).over(inside.rowsBetween(*upto)))
+    linked = _link(local, facts, keys)
+    return linked.withColumn(out, join_up(F.col("_base"), F.col("_run"))).drop("_base", "_run")
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -69,17 +86,20 @@ def running_sum(
     segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Sum of ``value`` up to and including the row. (keys, order) must be unique."""
-    order_cols = [F.col(c) for c in order]
-    upto = (Window.unboundedPreceding, Window.currentRow)
-    if _fits(df, keys, group_rows):
-        return df.withColumn(out, F.sum(value).over(_whole(keys).orderBy(*order_cols).rowsBetween(*upto)))
-    parts = _segmented(df, keys, order, segment_rows)
-    totals = parts.groupBy(*keys, SEGMENT).agg(F.sum(value).alias("_t"))
-    before = _whole(keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    facts = totals.withColumn("_base", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
-    inside = Window.partitionBy(*[F.col(k) for k in keys], F.col(SEGMENT)).orderBy(*order_cols)
-    local = parts.withColumn("_run", F.sum(value).over(inside.rowsBetween(*upto)))
-    return _link(local, facts, keys).withColumn(out, F.col("_base") + F.col("_run")).drop("_base", "_run")
+    return _running(df, keys, order, value, out, "sum", group_rows, segment_rows)
+
+
+def running_min(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    out: str,
+    group_rows: int = GROUP_ROWS,
+    segment_rows: int = SEGMENT_ROWS,
+) -> DataFrame:
+    """Lowest ``value`` up to and including the row. (keys, order) must be unique."""
+    return _running(df, keys, order, value, out, "min", group_rows, segment_rows)
 
 
 def row_numbers(
@@ -123,9 +143,3 @@ def previous_value(
     return linked.withColumn(
         out, F.when(F.col("_first"), F.col("_edge")).otherwise(F.col("_prev"))
     ).drop("_prev", "_first", "_edge")
-
-
-def running_best(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column) -> Column:
-    """Lowest value of the rows before this one; for short histories such as epochs."""
-    before = _whole(keys).orderBy(*[F.col(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
-    return F.min(value).over(before)

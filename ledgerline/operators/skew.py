@@ -15,7 +15,7 @@ SALTS = 32
 
 def heavy_keys(counts: DataFrame, keys: Sequence[str], n: str, share: float = HEAVY_SHARE) -> list[tuple]:
     """Keys that hold more than ``share`` of all rows: at most ``1/share`` of them."""
-    total = counts.agg(F.sum(n)).first()[0] or 0
+    total = counts.agg(F.sum(n)).scalar()
     rows = counts.filter(F.col(n) > total * share).dropna(subset=list(keys)).select(*keys)
     return [tuple(row) for row in rows.limit(int(1 / share) + 1).collect()]
 

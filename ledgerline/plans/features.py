@@ -247,7 +247,8 @@ class CustomerFeatures:
 
         Rows are first collapsed to (customer, product, brand), then looked up.
         """
-        brands, products = self.popularity_counts("prod_brand"), self.popularity_counts("prod_id")
+        brands = materialise(self.popularity_counts("prod_brand"), "brand_counts")
+        products = materialise(self.popularity_counts("prod_id"), "product_counts")
         limit = grouped_quantiles(brands, [], "popularity", {"q": self.p.rare_quantile}).scalar()
         rows = self.tx.groupBy(ID, "prod_id", "prod_brand").agg(F.count(F.lit(1)).alias("n"))
         both = salted_lookup(
