@@ -20,6 +20,7 @@ from ledgerline.sources import roles
 
 catalogue = Catalogue()
 P = FeatureParams()
+ID_COLUMNS = ("cust_id", "split", "fold")
 TYPES = sorted({*roles.TYPE_ROLES.values()})
 
 

@@ -78,15 +78,16 @@ def class_weights(train: DataFrame, classes: Sequence[str], smoothing: float) ->
     )
 
 
-def row_weights(train: DataFrame, smoothing: float) -> DataFrame:
+def row_weights(train: DataFrame, n_classes: int, smoothing: float) -> DataFrame:
     """Weight of a row: that of its rarest kept label, 0 without one."""
     by_class = positives(train).select("pos", (1.0 / (F.col("n_pos") + smoothing)).alias("w"))
     # One value per class, so the list is as long as the class list.
     listed = by_class.agg(F.array_sort(F.collect_list(F.struct("pos", "w"))).alias("l")).select(
         F.transform("l", lambda x: x["w"])
     )
-    weight = F.array_max(F.zip_with("label", listed.scalar(), lambda hit, w: hit * w))
-    return train.withColumn("sample_weight", F.coalesce(weight, F.lit(0.0)))
+    weights = listed.scalar()
+    held = [F.element_at("label", i) * F.element_at(weights, i) for i in range(1, n_classes + 1)]
+    return train.withColumn("sample_weight", F.coalesce(F.greatest(F.lit(0.0), *held), F.lit(0.0)))
 
 
 def uniform_draw(number: Column, seed: int) -> Column:
