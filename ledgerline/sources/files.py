@@ -80,14 +80,45 @@ def read_figures(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_text_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Log lines with the file they came from and their order inside it."""
-    return spark.read.text(path).select(
-        F.input_file_name().alias("run_id"),
-        F.monotonically_increasing_id().alias("line_no"),
+    """Log lines with the file they came from and their order inside it.
+
+    The order is the start of the file block, then the row inside the task reading it.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    return lines.select(
+        F.col("file_path").alias("run_id"),
+        F.struct("file_block_start", F.monotonically_increasing_id().alias("row")).alias("line_no"),
         F.col("value").alias("line"),
     )
 
 
+def read_nodes(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, schemas.NODES)
+
+
+def read_edges(spark: SparkSession, path: str) -> DataFrame:
+    """Edges with the row position ``pos`` in the file order."""
+    from ledgerline.operators.segments import row_numbers
+
+    rows = spark.read.schema(schemas.EDGES).option("header", True).csv(path)
+    order = F.struct(
+        F.col("_metadata.file_path").alias("f"),
+        F.col("_metadata.file_block_start").alias("b"),
+        F.monotonically_increasing_id().alias("r"),
+    )
+    placed = row_numbers(rows.select("source", "target", "action", order.alias("_at")), [], ["_at"], "pos")
+    return placed.select("source", "target", "action", (F.col("pos") - 1).alias("pos"))
+
+
+def read_node_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Exported node metrics; one column name holds a blank, so names are matched, not guessed."""
+    return read_csv(spark, path, schemas.NODE_METRICS)
+
+
+def read_edge_weights(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, schemas.EDGE_WEIGHTS)
+
+
 def read_relational(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """Table of a relational store; filters and columns are pushed into its query.
 
