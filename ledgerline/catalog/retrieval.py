@@ -160,10 +160,10 @@ def first_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- vectors -----------------------------------------------------------------------------------
 
 FOUND_SQL = f"""vx as (select vec_id, embedding::double[] as x, sqrt(list_dot_product(embedding::double[], embedding::double[])) as len from embeddings),
- pairs as (select q.vec_id as query_id, i.vec_id as item_id, round(list_dot_product(q.x, i.x) / (q.len * i.len), 9) as cos
+ pairs as (select q.vec_id as query_id, i.vec_id as item_id, list_dot_product(q.x, i.x) / (q.len * i.len) as cos
  from vx q join vx i on q.vec_id <> i.vec_id),
- found as materialized (select query_id, item_id, cos, k as retrieval_rank, round_even((1 + cos) / 2, 4) as similarity from
- (select *, row_number() over (partition by query_id order by cos desc, item_id) as k from pairs) where k <= {P.candidates})"""
+ found as materialized (select query_id, item_id, cos, k as retrieval_rank, cast(printf('%.4f', (1 + cos) / 2) as double) as similarity from
+ (select *, row_number() over (partition by query_id order by round(cos, 9) desc, item_id) as k from pairs) where k <= {P.candidates})"""
 
 
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +185,7 @@ def topk_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RANKED_SQL = f"""{ITEMS_SQL}, {_PARSED}, {META_SQL}, {FOUND_SQL},
  ranked as materialized (select * from (select *, row_number() over (partition by query_id order by score desc, retrieval_rank) as position from
- (select *, round_even(similarity * {P.similarity_weight} + case when positive + negative > 0 then positive / (positive + negative) else {P.neutral_approval} end * {P.approval_weight}, 4) as score
+ (select *, cast(printf('%.4f', similarity * {P.similarity_weight}::double + case when positive + negative > 0 then positive / (positive + negative) else {P.neutral_approval}::double end * {P.approval_weight}::double) as double) as score
  from found join meta on app_id = cast(item_id as varchar))) where position <= {P.matches})"""
 
 
@@ -217,9 +217,9 @@ def response(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-CONTEXT_SQL = f"""ctx as (select query_id, string_agg(concat(position, '. ', name, ' ($', printf('%.2f', round_even(price, 2)), ')', chr(10), '   Genres: ',
+CONTEXT_SQL = f"""ctx as (select query_id, string_agg(concat(position, '. ', name, ' ($', printf('%.2f', price), ')', chr(10), '   Genres: ',
  case when len(genres) > 0 then array_to_string(genres, ', ') else 'N/A' end, ' | Tags: ', case when len(tags) > 0 then array_to_string(tags[1:{P.context_tags}], ', ') else 'N/A' end,
- chr(10), '   Approval: ', case when positive + negative > 0 then concat(printf('%.0f', round_even(positive / (positive + negative) * 100, 0)), '%') else 'N/A' end,
+ chr(10), '   Approval: ', case when positive + negative > 0 then concat(printf('%.0f', positive / (positive + negative) * 100), '%') else 'N/A' end,
  ' (', format('{{:,}}', positive + negative), ' reviews)', chr(10), '   ', substr(short_description, 1, {P.context_chars})), concat(chr(10), chr(10)) order by position) as context,
  string_agg(name, ', ' order by position) filter (where position <= 3) as names from ranked group by 1)"""
 

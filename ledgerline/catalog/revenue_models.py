@@ -99,8 +99,8 @@ _DISTANCE = "sqrt(" + " + ".join(f"(q.{c} - i.{c}) * (q.{c} - i.{c})" for c in _
     + ", z as materialized (select cust_id, im.split, y, "
     + ", ".join(f"({c} - a_{c}) / case when s_{c} = 0 then 1 else s_{c} end as {c}" for c in _SCALED)
     + f""" from im join ty using (cust_id), sc),
- nn as (select q.cust_id, q.y, i.y as iy, i.cust_id as item, round({_DISTANCE}, 9) as d from z q join z i on q.split = 'val' and i.split = 'train'),
- best as (select * from (select *, row_number() over (partition by cust_id order by d, item) as k from nn) where k <= {BRIEF.neighbours})
+ nn as (select q.cust_id, q.y, i.y as iy, i.cust_id as item, {_DISTANCE} as d from z q join z i on q.split = 'val' and i.split = 'train'),
+ best as (select * from (select *, row_number() over (partition by cust_id order by round(d, 9), item) as k from nn) where k <= {BRIEF.neighbours})
  select cust_id, {r('any_value(y)')} as y_true, {r('case when count(*) filter (where d = 0) > 0 then avg(iy) filter (where d = 0) else sum(iy / nullif(d, 0)) / sum(1 / nullif(d, 0)) end')} as y_pred
  from best group by 1""",
 )

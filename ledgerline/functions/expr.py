@@ -68,6 +68,24 @@ def ratio_nonzero(numerator: Column, denominator: Column) -> Column:
     return F.when(denominator != 0, numerator / denominator)
 
 
+def round_exact(value: Column, digits: int) -> Column:
+    """Round the double itself, not its decimal print, half to even.
+
+    0.61235 is stored a little below its print, so four digits give 0.6123, as in plain
+    Python. The product with a power of ten is kept exactly as the sum of two doubles, by
+    splitting the value into an upper and a lower half, and compared with the midpoint.
+    """
+    power = F.lit(float(10**digits))
+    wide = value * F.lit(134217729.0)  # 2^27 + 1
+    upper = wide - (wide - value)
+    lower = value - upper
+    whole = F.floor(value * power).cast("double")
+    past = (upper * power - (whole + 0.5)) + lower * power
+    is_odd = F.pmod(whole, F.lit(2.0)) == 1.0
+    up = (past > 0) | ((past == 0) & is_odd)
+    return F.when(up, whole + 1.0).otherwise(whole) / power
+
+
 def zero_below(value: Column, threshold) -> Column:
     return F.when(value < threshold, F.lit(0.0)).otherwise(value)
 
@@ -109,7 +127,7 @@ def norm(a: Column) -> Column:
 
 def percent_label(share: Column) -> Column:
     """``12.34%``, rounded half to even."""
-    return F.format_string("%.2f%%", F.bround(share * 100, 2))
+    return F.format_string("%.2f%%", round_exact(share * 100, 2))
 
 
 def stack_columns(columns: Sequence[str], name: str, value: str) -> Column:

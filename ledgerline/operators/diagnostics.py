@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.expr import as_flag, at_least, percent_label
+from ledgerline.functions.expr import as_flag, at_least, percent_label, round_exact
 from ledgerline.operators.binning import binned, quantile_edges
 from ledgerline.operators.profile import compare_groups, count_if
 from ledgerline.operators.quantiles import grouped_quantiles, value_ranks
@@ -66,13 +66,13 @@ def describe_target(df: DataFrame, split: str = "split", target: str = "y_true")
     basic = df.groupBy(split).agg(
         F.count(F.lit(1)).alias("n_customers"),
         percent_label(F.avg(as_flag(y > 0))).alias("pct_returners"),
-        F.bround(F.avg(y), 2).alias("mean"),
-        F.bround(F.stddev_samp(y), 2).alias("std"),
-        F.bround(F.max(y), 2).alias("max"),
+        round_exact(F.avg(y), 2).alias("mean"),
+        round_exact(F.stddev_samp(y), 2).alias("std"),
+        round_exact(F.max(y), 2).alias("max"),
     )
     marks = {"median": 0.5, "p90": 0.90, "p95": 0.95, "p99": 0.99}
     spread = grouped_quantiles(df, [split], target, marks)
-    return basic.join(spread.select(split, *[F.bround(m, 2).alias(m) for m in marks]), split, "left")
+    return basic.join(spread.select(split, *[round_exact(F.col(m), 2).alias(m) for m in marks]), split, "left")
 
 
 def prediction_distribution(df: DataFrame, cutoffs: Sequence[float], by: str = "model") -> DataFrame:

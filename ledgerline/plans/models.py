@@ -202,9 +202,10 @@ def fit_boosted(data: ModelData, rows: DataFrame, target: Column, loss: str, dee
             minInstancesPerNode=leaf,
             subsamplingRate=p.boost_subsample,
             featureSubsetStrategy=str(p.boost_columns),
+            validationTol=0.0,
             seed=p.seed,
         )
-        return booster.setValidationIndicatorCol("_val").setValidationTol(0.0) if stop_early else booster
+        return booster.setValidationIndicatorCol("_val") if stop_early else booster
 
     source = rows if stop_early else part(rows, "train")
     try:

@@ -83,3 +83,15 @@ def test_first_filled_and_shorten(spark):
 
 def test_percent_label(spark):
     assert values(spark, "x double", [(0.3667,)], expr.percent_label(F.col("x"))) == [("36.67%",)]
+
+
+def test_exact_rounding_equals_python(spark):
+    import random
+
+    draw = random.Random(6)
+    numbers = [0.61235, 0.57875, 2.5, 3.5, -2.5, 0.125, 0.375, 62.5, 1e-9, 0.0]
+    numbers += [round(draw.uniform(-3, 100), 5) for _ in range(2000)] + [k / 1000 + 0.0005 for k in range(500)]
+    df = spark.createDataFrame([(n,) for n in numbers], "x double")
+    for digits in (0, 2, 4):
+        got = df.select("x", expr.round_exact(F.col("x"), digits).alias("r")).collect()
+        assert [(r.x, r.r) for r in got if r.r != round(r.x, digits)] == []
