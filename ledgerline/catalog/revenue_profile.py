@@ -321,11 +321,12 @@ def hist_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binning.histogram(stats, F.round("total_revenue", 2), PP.revenue_bins, PP.revenue_clip)
 
 
-_OUTCOME = [
-    F.avg("is_returner").alias("returner_rate"),
-    F.avg(TARGET).alias("mean_revenue"),
-    F.count(F.lit(1)).alias("n"),
-]
+def _outcome() -> list:
+    return [
+        F.avg("is_returner").alias("returner_rate"),
+        F.avg(TARGET).alias("mean_revenue"),
+        F.count(F.lit(1)).alias("n"),
+    ]
 
 
 def _qbin_sql(column: str, q: int) -> str:
@@ -345,7 +346,7 @@ def qbin_recency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcome by recency decile."""
     q = materialise(quick(spark, sf_dir), "quick")
     edges = binning.quantile_edges(q, "recency_days", PP.recency_bins)
-    return binning.binned(q, F.col("recency_days"), edges, _OUTCOME, zero_filled=["n"])
+    return binning.binned(q, F.col("recency_days"), edges, _outcome(), zero_filled=["n"])
 
 
 _SPEND = QUICK.replace("sum(sale_revenue) as total_revenue_1617", "round(sum(sale_revenue), 2) as total_revenue_1617")
@@ -357,7 +358,7 @@ def qbin_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = quick(spark, sf_dir).withColumn("total_revenue_1617", F.round("total_revenue_1617", 2))
     q = materialise(q, "quick")
     edges = binning.quantile_edges(q, "total_revenue_1617", PP.spend_bins)
-    return binning.binned(q, F.col("total_revenue_1617"), edges, _OUTCOME, zero_filled=["n"])
+    return binning.binned(q, F.col("total_revenue_1617"), edges, _outcome(), zero_filled=["n"])
 
 
 _FREQ = ", ".join(
@@ -378,7 +379,7 @@ def freq_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
         quick(spark, sf_dir),
         F.col("n_orders"),
         PP.frequency_edges,
-        _OUTCOME,
+        _outcome(),
         include_lowest=False,
         labels=PP.frequency_labels,
         zero_filled=["n"],

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -16,6 +20,11 @@ def test_every_oracle_has_a_query():
     assert len(driver.queries()) > 100
 
 
+def test_names_can_be_listed_without_a_session():
+    code = "import __spark_entry__ as d; assert len(d.queries()) > 100 and len(d.oracle_sql()) > 90"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(driver.__file__))
+
+
 def test_entry_runs(spark):
     df = driver.entry(spark)
     assert df.count() > 0 and "cust_id" in df.columns
