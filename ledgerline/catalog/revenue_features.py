@@ -206,7 +206,9 @@ TIER_NAMES = {
 def _register_tier(tier: int) -> None:
     @catalogue.add(f"w1_tier{tier:02d}_{TIER_NAMES[tier]}", TIER_SQL[tier])
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return customer_features(spark, sf_dir).raw([tier])
+        # A tier that reads the transactions several times stores them first.
+        several = len(CustomerFeatures.BLOCKS[tier]) > 1 or tier == 11
+        return customer_features(spark, sf_dir, store=several).raw([tier])
 
 
 for _tier in TIER_SQL:
@@ -290,7 +292,7 @@ def matrix_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def core_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recency, frequency and revenue per customer."""
-    return customer_features(spark, sf_dir).raw([1]).select("cust_id", "recency_days", "n_orders", "total_revenue")
+    return customer_features(spark, sf_dir).recency_frequency_money()
 
 
 @catalogue.add(

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.expr import decide, multi_hot, ratio, sigmoid
 from ledgerline.operators.prep import plain_split
-from ledgerline.operators.segments import previous_value, row_numbers, running_min, running_sum
+from ledgerline.operators.segments import lowest_before, row_numbers, running_sum
 from ledgerline.params import LabelParams
+from ledgerline.session import materialise
 
 # The epoch lines of a training log.
 TRAIN_LINE = r"Train Loss:\s+([\d.]+)\s+\|\s+Train Acc:\s+([\d.]+)"
@@ -218,22 +219,28 @@ def argmax_examples(rows: DataFrame, classes: Sequence[str], n: int) -> DataFram
 def epoch_metrics(lines: DataFrame) -> DataFrame:
     """Epoch table per run from log lines (run_id, line_no, line); n-th train meets n-th val."""
 
-    def side(pattern: str, loss: str, accuracy: str) -> DataFrame:
-        found = lines.select(
-            "run_id",
-            "line_no",
-            F.regexp_extract("line", pattern, 1).try_cast("double").alias(loss),
-            F.regexp_extract("line", pattern, 2).try_cast("double").alias(accuracy),
-        ).filter(F.col(loss).isNotNull())
-        return row_numbers(found, ["run_id"], ["line_no"], "epoch").drop("line_no")
-
-    both = side(TRAIN_LINE, "train_loss", "train_acc").join(
-        side(VAL_LINE, "val_loss", "val_acc"), ["run_id", "epoch"]
-    )
-    best = running_min(both, ["run_id"], ["epoch"], "val_loss", "_best")
-    before = previous_value(best, ["run_id"], ["epoch"], "_best", "best_before")
-    improved = F.col("best_before").isNull() | (F.col("val_loss") < F.col("best_before"))
-    return before.withColumn("improved", improved).drop("_best")
+    def found(pattern: str, side: str) -> Column:
+        loss, accuracy = (F.regexp_extract("line", pattern, i).try_cast("double") for i in (1, 2))
+        return F.when(loss.isNotNull(), F.struct(F.lit(side).alias("side"), loss.alias("loss"), accuracy.alias("acc")))
+
+    hit = F.coalesce(found(TRAIN_LINE, "train"), found(VAL_LINE, "val"))
+    parsed = materialise(
+        lines.select("run_id", "line_no", hit.alias("hit")).filter("hit IS NOT NULL").select("run_id", "line_no", "hit.*"),
+        "log_lines",
+    )
+    placed = row_numbers(parsed, ["run_id", "side"], ["line_no"], "epoch")
+
+    def of(side: str, column: str) -> Column:
+        return F.max(F.when(F.col("side") == side, F.col(column))).alias(f"{side}_{column}")
+
+    both = placed.groupBy("run_id", "epoch").agg(
+        of("train", "loss"), of("train", "acc"), of("val", "loss"), of("val", "acc"), F.count(F.lit(1)).alias("_sides")
+    )
+    epochs = materialise(both.filter("_sides = 2").drop("_sides"), "epochs")
+    best = lowest_before(epochs, ["run_id"], ["epoch"], "val_loss", "best_before")
+    return best.withColumn(
+        "improved", F.col("best_before").isNull() | (F.col("val_loss") < F.col("best_before"))
+    )
 
 
 def best_epochs(epochs: DataFrame) -> DataFrame:

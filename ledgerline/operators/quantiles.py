@@ -32,7 +32,7 @@ def grouped_quantiles(
     counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
     placed = running_sum(counts, keys, ["_v"], "_n", "_upto", 0, segment_rows)
     totals = placed.groupBy(*keys).agg(F.max("_upto").alias("_total"))
-    with_total = placed.join(totals, list(keys)) if keys else placed.crossJoin(F.broadcast(totals))
+    with_total = placed.join(totals, list(keys)) if keys else placed.withColumn("_total", totals.scalar())
     picks = []
     for name, p in probs.items():
         at = (F.col("_total") - 1) * F.lit(float(p))
@@ -53,9 +53,13 @@ def grouped_quantiles(
 def column_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], group_rows: int = GROUP_ROWS
 ) -> DataFrame:
-    """Quantiles of many columns: one row per column name (``feature``)."""
+    """Quantiles of many columns: one row per column name (``feature``).
+
+    One wide aggregation holds the values of all columns in one task at its end, so it is
+    used only while rows times columns stay within ``group_rows``.
+    """
     long = df.select(F.inline(stack_columns(columns, "feature", "value")))
-    if df.count() <= group_rows:
+    if df.count() * len(columns) <= group_rows:
         wide = df.agg(
             *[
                 F.percentile(F.col(f"`{c}`").cast("double"), F.array(*[F.lit(float(p)) for p in probs.values()])).alias(c)

@@ -59,11 +59,11 @@ def _link(df: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(renamed, condition, "left").drop("_s", SEGMENT, *[f"_k_{k}" for k in keys])
 
 
-def _running(df, keys, order, value, out, how, group_rows, segment_rows) -> DataFrame:
+def _running(df, keys, order, value, out, how, group_rows, segment_rows, before_row=False) -> DataFrame:
     fold = {"sum": F.sum, "min": F.min}[how]
     join_up = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + b, "min": F.least}[how]
     order_cols = [F.col(c) for c in order]
-    upto = (Window.unboundedPreceding, Window.currentRow)
+    upto = (Window.unboundedPreceding, -1 if before_row else Window.currentRow)
     if _fits(df, keys, group_rows):
         return df.withColumn(out, fold(value).over(_whole(keys).orderBy(*order_cols).rowsBetween(*upto)))
     parts = _segmented(df, keys, order, segment_rows)
@@ -89,7 +89,7 @@ def running_sum(
     return _running(df, keys, order, value, out, "sum", group_rows, segment_rows)
 
 
-def running_min(
+def lowest_before(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
@@ -98,8 +98,8 @@ def running_min(
     group_rows: int = GROUP_ROWS,
     segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
-    """Lowest ``value`` up to and including the row. (keys, order) must be unique."""
-    return _running(df, keys, order, value, out, "min", group_rows, segment_rows)
+    """Lowest ``value`` of the rows before this one. (keys, order) must be unique."""
+    return _running(df, keys, order, value, out, "min", group_rows, segment_rows, True)
 
 
 def row_numbers(

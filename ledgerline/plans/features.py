@@ -415,6 +415,19 @@ class CustomerFeatures:
             columns |= self.tier_columns(tier)
         return frame.select(ID, *[col.alias(n) for n, col in columns.items()])
 
+    def recency_frequency_money(self) -> DataFrame:
+        """Days since the last order, number of orders, revenue: one aggregation of orders."""
+        orders = (
+            self.tx.filter(F.col("sale_id").isNotNull())
+            .groupBy(ID, "sale_id")
+            .agg(_total(F.col("sale_revenue")).alias("revenue"), F.max("order_date").alias("day"))
+        )
+        return orders.groupBy(ID).agg(
+            whole_days(self.ref, F.max("day")).alias("recency_days"),
+            F.count(F.lit(1)).alias("n_orders"),
+            F.sum("revenue").alias("total_revenue"),
+        )
+
     def reindexed(self, raw: DataFrame) -> DataFrame:
         """Every customer with history or in train or test; NULL features without history."""
         ids = raw.select(ID).union(self.train.select(ID)).union(self.test.select(ID)).distinct()

@@ -26,15 +26,16 @@ def rows(spark):
 def test_running_sum_min_and_previous(rows, way):
     data, df = rows
     total = {(r.k, r.i): r.s for r in segments.running_sum(df, ["k"], ["i"], "v", "s", **WAYS[way]).collect()}
-    low = {(r.k, r.i): r.s for r in segments.running_min(df, ["k"], ["i"], "v", "s", **WAYS[way]).collect()}
+    low = {(r.k, r.i): r.s for r in segments.lowest_before(df, ["k"], ["i"], "v", "s", **WAYS[way]).collect()}
     prev = {(r.k, r.i): r.s for r in segments.previous_value(df, ["k"], ["i"], "v", "s", **WAYS[way]).collect()}
     number = {(r.k, r.i): r.s for r in segments.row_numbers(df, ["k"], ["i"], "s", **WAYS[way]).collect()}
     for k in {d[0] for d in data}:
         seen = []
         for _, i, v in sorted(d for d in data if d[0] == k):
             assert prev[k, i] == (seen[-1] if seen else None)
+            assert low[k, i] == (min(seen) if seen else None)
             seen.append(v)
-            assert total[k, i] == sum(seen) and low[k, i] == min(seen) and number[k, i] == len(seen)
+            assert total[k, i] == sum(seen) and number[k, i] == len(seen)
 
 
 @pytest.mark.parametrize("way", WAYS)
