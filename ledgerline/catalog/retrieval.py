@@ -16,6 +16,7 @@ from ledgerline.sources import files, roles
 
 catalogue = Catalogue()
 P = RetrievalParams()
+# Fixed value: the instruction used when no prompt file is given.
 SYSTEM_PROMPT = "You are a knowledgeable gaming expert. Recommend games based on the retrieved context."
 
 # Column name to (Spark SQL, DuckDB SQL); one entry where both read the same.

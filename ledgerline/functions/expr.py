@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -18,7 +19,7 @@ def as_flag(condition: Column) -> Column:
 def season_year(label: Column) -> Column:
     """Year of a season label: its last two digits, below 50 in this century."""
     digits = F.regexp_replace(label, "[^0-9]", "")
-    short = F.substring(digits, -2, 2).cast("int")
+    short = F.substring(digits, -2, 2).try_cast("int")
     return F.when(
         F.length(digits) >= 2, F.when(short < 50, short + 2000).otherwise(short + 1900)
     )
@@ -91,9 +92,8 @@ def zero_below(value: Column, threshold) -> Column:
 
 
 def brand_flag_name(brand: str) -> str:
-    """Output column of a brand flag; the word "and" is dropped with its spacing halved."""
-    name = brand.lower().replace(" ", "_").replace("and", "_")
-    return "buys_" + name.replace("__", "_")
+    """Output column of a brand flag: blanks and every "and" give an underscore, pairs of them one."""
+    return "buys_" + re.sub("__", "_", re.sub(" |and", "_", brand.lower()))
 
 
 def one_hot(column: Column, value: str) -> Column:

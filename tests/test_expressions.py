@@ -9,8 +9,8 @@ def values(spark, schema, rows, *columns):
 
 
 def test_season_year(spark):
-    got = values(spark, "s string", [("W17",), ("S99",), ("S5",), (None,), ("x1y49",), ("50",)], expr.season_year(F.col("s")))
-    assert [g[0] for g in got] == [2017, 1999, None, None, 2049, 1950]
+    got = values(spark, "s string", [("W17",), ("S99",), ("S5",), (None,), ("x1y49",), ("50",), ("none",)], expr.season_year(F.col("s")))
+    assert [g[0] for g in got] == [2017, 1999, None, None, 2049, 1950, None]
 
 
 def test_numbers_and_sentinels(spark):
