@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.llm.ngram_join import jaccard_classes
+from ledgerline.llm.packing import pack
+from ledgerline.llm.text_runs import remove_repeats
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,5 +21,18 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op9_ngram_jaccard_join": op9_ngram_jaccard_join}
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+QUERIES = {
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_best_fit_packing": op10_best_fit_packing,
+}
 ORACLES: dict[str, str] = {}
