@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.ngram_join import jaccard_classes
 from ledgerline.llm.packing import pack
+from ledgerline.llm.quality import judge
 from ledgerline.llm.text_runs import remove_repeats
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +22,10 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
+def op5_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
@@ -31,6 +36,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_distribution_divergence": op5_distribution_divergence,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_best_fit_packing": op10_best_fit_packing,
