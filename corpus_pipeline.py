@@ -7,7 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.llm import pipeline as stages
 
 STAGES = [
+    ("quality_rules", stages.quality_rules),
     ("near_duplicates", stages.near_duplicates),
+    ("secret_scan", stages.secret_scan),
+    ("mixture", stages.mixture),
+    ("packing", stages.packing),
 ]
 ORACLE_SQL = None
 

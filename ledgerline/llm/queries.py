@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.archives import archive_path, read_archives, write_archives
+from ledgerline.llm.html_text import extract
 from ledgerline.llm.mixing import mix, mix_sql
 from ledgerline.llm.ngram_join import jaccard_classes
 from ledgerline.llm.packing import pack
 from ledgerline.llm.quality import judge
+from ledgerline.llm.secrets_scan import scan
 from ledgerline.llm.text_runs import remove_repeats
+from ledgerline.llm.toxicity import score_toxicity
 from ledgerline.llm.vector_links import near_duplicates
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -25,6 +28,10 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
+def op1_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_warc_zstd_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = archive_path(spark)
     write_archives(_table(spark, sf_dir, "pages"), path)
@@ -49,10 +56,18 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_html_block_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
+def op6_secret_scan_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing_to_target_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
@@ -67,9 +82,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_kneser_ney_toxicity": op1_kneser_ney_toxicity,
     "op2_warc_zstd_archives": op2_warc_zstd_archives,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_html_block_extraction": op4_html_block_extraction,
     "op5_distribution_divergence": op5_distribution_divergence,
+    "op6_secret_scan_network": op6_secret_scan_network,
     "op7_mixing_to_target_weights": op7_mixing_to_target_weights,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
