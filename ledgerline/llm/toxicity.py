@@ -161,7 +161,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     prepare(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("fold", fold(F.col("doc_id")))
     marks = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    training = rows.where("fold <> 0").join(marks.where(fold(F.col("doc_id")) != 0), "doc_id").select(
+    # A sort-merge join at every size: the labels grow with the documents.
+    training = rows.where("fold <> 0").join(marks.where(fold(F.col("doc_id")) != 0).hint("merge"), "doc_id").select(
         "text", F.when(F.col("toxic") > 0, 1).otherwise(0).cast("long").alias("toxic"), F.when(F.col("fold") == CALIBRATION_FOLD, 1).otherwise(0).cast("long").alias("late")
     )
     counted, path = store(training.mapInArrow(_count, "gram long, t0 long, o0 long, t1 long, o1 long, text string, toxic int"), "toxicity-counts")
