@@ -113,16 +113,16 @@ def _print(e: DataFrame) -> tuple:
     return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(weighted: DataFrame, nodes: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(weighted: DataFrame, nodes: DataFrame) -> DataFrame:
     """Weakly connected component of every node, named by its smallest id.
 
     Alternating large-star and small-star rounds: about log(size) of them even for long
-    chains, and a hub is only ever aggregated, never collected.
+    chains, until a round changes nothing. No hub is collected.
     """
     e = weighted.select(F.col("source").alias("u"), F.col("target").alias("v")).filter(F.col("u") != F.col("v"))
     e = materialise(e.distinct(), "component_edges")
     seen = _print(e)
-    for _ in range(max_rounds):
+    while True:
         e = materialise(_small_star(_large_star(e)), "stars")
         now = _print(e)
         if now == seen:

@@ -21,6 +21,7 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -209,7 +210,7 @@ def fit_boosted(data: ModelData, rows: DataFrame, target: Column, loss: str, dee
     source = rows if stop_early else part(rows, "train")
     try:
         return build(loss).fit(source)
-    except Exception as error:  # a loss that cannot be fitted on these rows
+    except IllegalArgumentException as error:  # a loss Spark does not offer; other failures are raised
         log.warning("loss %s failed (%s); fitting squared error", loss, error)
         return build("squared").fit(source)
 

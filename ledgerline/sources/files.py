@@ -74,9 +74,12 @@ def with_transaction_contract(tx: DataFrame) -> DataFrame:
     return tx.withColumns({**cleaned, **added})
 
 
-def read_figures(spark: SparkSession, path: str) -> DataFrame:
-    """JSON array of records, or one record per line when the file is split."""
-    return spark.read.schema(schemas.FIGURES).option("multiLine", True).json(path)
+def read_figures(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
+    """Records of a JSON file. Layout "array": one array, read whole by one task. Layout "lines":
+    one record per line, which Spark splits."""
+    if layout not in ("array", "lines"):
+        raise ValueError(f"unknown layout {layout!r}")
+    return spark.read.schema(schemas.FIGURES).option("multiLine", layout == "array").json(path)
 
 
 def read_text_logs(spark: SparkSession, path: str) -> DataFrame:

@@ -27,24 +27,9 @@ TYPE_ROLES = {
 }
 
 
-# A table in fewer files than there are cores is spread over them once it has this size.
-SPREAD_BYTES = 1 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables.
-
-    A file with a single row group is read by a single task; where files are that few, the
-    pruned and filtered rows are dealt out to all cores. Large tables have many files and
-    are read as they lie.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if len(files) >= cores:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size > SPREAD_BYTES else df
+    """One of the given tables, read as it lies."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cents(column: str) -> str:

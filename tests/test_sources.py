@@ -82,3 +82,14 @@ def test_written_steps_go_to_the_shared_folder(spark):
 def test_schemas_parse(spark):
     for name in ("TRAIN", "TEST", "TRANSACTIONS", "FIGURES", "ITEMS", "REVIEWS", "NODES", "EDGES", "NODE_METRICS", "EDGE_WEIGHTS"):
         assert spark.createDataFrame([], getattr(schemas, name)).columns
+
+
+def test_figures_one_record_per_line(spark, tmp_path):
+    from ledgerline.sources import schemas
+
+    first = schemas.FIGURES.fieldNames()[0] if hasattr(schemas.FIGURES, "fieldNames") else schemas.FIGURES.split()[0]
+    path = tmp_path / "figures.jsonl"
+    path.write_text("".join('{"%s": null}\n' % first for _ in range(5)))
+    assert files.read_figures(spark, str(path), layout="lines").count() == 5
+    with pytest.raises(ValueError):
+        files.read_figures(spark, str(path), layout="rows")
