@@ -236,9 +236,9 @@ def test_secrets(spark):
 
 
 def test_toxicity_held_out(spark):
-    df = toxicity.score_toxicity(small(spark, "documents").unionByName(spark.read.parquet(SMALL.replace("0.001", "0.01") + "/documents.parquet").where("doc_id >= 200")),
-                                 spark.read.parquet(SMALL.replace("0.001", "0.01") + "/labels.parquet"))
-    m = df.toPandas().merge(spark.read.parquet(SMALL.replace("0.001", "0.01") + "/labels.parquet").toPandas(), on="doc_id")
+    # sf0.01 has six held-out toxic rows and some 35 to learn from: too few to measure a ranking.
+    df = toxicity.score_toxicity(spark.read.parquet(SMALL.replace("0.001", "0.1") + "/documents.parquet"), spark.read.parquet(SMALL.replace("0.001", "0.1") + "/labels.parquet"))
+    m = df.toPandas().merge(spark.read.parquet(SMALL.replace("0.001", "0.1") + "/labels.parquet").toPandas(), on="doc_id")
     held = m[m.held_out]
     one, two = held[held.toxic == 1].score.to_numpy(), held[held.toxic == 0].score.to_numpy()
     assert (one[:, None] > two).mean() > 0.9
