@@ -3,12 +3,18 @@
 Two interpolated Kneser-Ney models, one of toxic and one of ordinary training texts, tell how likely
 each word is, byte by byte, from up to ``ORDER - 1`` bytes before; invented and inflected forms of
 an expression share its contexts. The lower orders, on which rare expressions fall back, are
-continuation counts shared by both classes. A document's evidence is the difference of the two
-log-likelihoods over its number of words; a logistic curve on it, fitted on training documents that
-the fitted models have not seen, gives the score.
-
-Bytes are first mapped to 32 symbols, so an n-gram of ORDER symbols is a number below 2**(5 ORDER)
-and the tables that go to the tasks have a fixed size. All training rows are counted.
+continuation counts shared by both classes.
+
+A document's evidence is the difference of its two log-likelihoods over its number of words. The
+share of a word in it is brought towards zero by ``MARGIN``: smaller differences come from the mix
+of languages and from chance, and over hundreds of words they would outweigh a few clear
+expressions. A logistic curve on the evidence, fitted on training documents that the fitted models
+have not seen, gives the score.
+
+Bytes are first mapped to 32 symbols, so an n-gram of ORDER symbols is a number below 2**(5 ORDER).
+All training rows are counted and the models are computed from the exact counts as DataFrames; the
+log-ratios go to the tasks in tables of a fixed number of cells, in which n-grams that meet are
+averaged by their counts.
 """
 
 from __future__ import annotations
@@ -17,14 +23,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import LOWER, chunks, prepare, remove, store, word_places
 
-ORDER = 4
+ORDER = 8
+BACKOFF = (6, 4, 2)
 SYMBOL_BITS = 5
-DISCOUNT = 0.75
+DISCOUNT = 0.9
+MARGIN = 3.0
+GRAM_CELLS = 4_194_301
+CONTEXT_CELLS = 2_097_143
+COUNT_SYMBOLS = 1 << 23
 FOLDS = 5
 CALIBRATION_FOLD = 4
 CALIBRATION_ROWS = 20_000
@@ -47,82 +58,123 @@ def grams(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     start, end, row = word_places(data, places)
     size = end - start + 1
     first = np.cumsum(size) - size
-    symbols = np.zeros(int(size.sum()), np.int64)
-    at = np.arange(len(symbols)) - np.repeat(first, size)
+    out = np.zeros(int(size.sum()), np.int64)
+    at = np.arange(len(out)) - np.repeat(first, size)
     inside = at < np.repeat(size - 1, size)
-    symbols[inside] = SYMBOL[data[(np.repeat(start, size) + at)[inside]]]
-    out = symbols.copy()
-    for k in range(1, ORDER):
-        before = np.zeros_like(symbols)
-        before[k:] = symbols[:-k]
+    out[inside] = SYMBOL[data[(np.repeat(start, size) + at)[inside]]]
+    k = 1
+    while k < ORDER:  # numbers of k symbols make those of 2 k
+        before = np.zeros_like(out)
+        before[k:] = out[:-k]
         before[at < k] = 0
         out |= before << (SYMBOL_BITS * k)
+        k *= 2
     return out, np.repeat(row, size)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's n-grams by class and fold; texts of the calibration fold go along."""
-    tables = np.zeros((4, 1 << (SYMBOL_BITS * ORDER)), np.int32)
+    """Counts of n-grams by class and fold, some megabytes at a time; texts of the calibration fold go along."""
     names = ["gram", "t0", "o0", "t1", "o1", "text", "toxic"]
+    waiting: list[np.ndarray] = []
+    held = 0
+
+    def flush() -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate(waiting), return_counts=True)
+        gram, kind = keys >> 2, keys & 3
+        columns = [pa.array(np.where(kind == k, counts, 0)) for k in range(4)]
+        return pa.RecordBatch.from_arrays([pa.array(gram), *columns, pa.nulls(len(keys), pa.string()), pa.nulls(len(keys), pa.int32())], names=names)
+
     for batch in batches:
         toxic, late = batch.column("toxic").to_numpy(), batch.column("late").to_numpy()
         kind = (1 - toxic) + 2 * late
         for first, end, data, places in chunks(batch.column("text")):
             gram, row = grams(data, places)
-            own = kind[first:end][row]
-            for k in range(4):
-                tables[k] += np.bincount(gram[own == k], minlength=tables.shape[1]).astype(np.int32) if (own == k).any() else 0
+            waiting.append(gram << 2 | kind[first:end][row])
+            held += len(gram)
+            if held >= COUNT_SYMBOLS:
+                yield flush()
+                waiting, held = [], 0
         keep = np.flatnonzero(late)
         none = pa.nulls(len(keep), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [none, none, none, none, none, batch.column("text").take(pa.array(keep)), pa.array(toxic[keep].astype(np.int32))], names=names
         )
-    used = np.flatnonzero(tables.any(axis=0))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(used), *(pa.array(tables[k, used].astype(np.int64)) for k in range(4)), pa.nulls(len(used), pa.string()), pa.nulls(len(used), pa.int32())],
-        names=names,
+    if waiting:
+        yield flush()
+
+
+def _low(gram: str, symbols: int) -> Column:
+    return F.col(gram).bitwiseAND(F.lit((1 << (SYMBOL_BITS * symbols)) - 1))
+
+
+def _context(gram: str) -> Column:
+    return F.shiftright(F.col(gram), SYMBOL_BITS)
+
+
+def shared_backoff(counts: DataFrame) -> DataFrame:
+    """(low, p): probability of the last symbol of every n-gram of BACKOFF[0] symbols after the ones
+    before, from continuation counts of both classes; shorter n-grams smooth longer ones."""
+    levels, longer = [], counts.select("gram")
+    for k in BACKOFF:
+        longer = longer.groupBy(_low("gram", k).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        levels.append((k, longer))
+    p = None
+    for k, level in reversed(levels):
+        # A context has at most 32 successors, so these windows are small whatever the input.
+        own = Window.partitionBy(_context("gram"))
+        level = level.withColumn("total", F.sum("n").over(own)).withColumn("kinds", F.count(F.lit(1)).over(own))
+        if p is None:
+            level = level.withColumn("p", F.lit(1.0 / (1 << SYMBOL_BITS)))
+        else:
+            level = level.withColumn("low", _low("gram", shorter)).join(p, "low")
+        value = (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("kinds") * F.col("p")) / F.col("total")
+        p, shorter = level.select(F.col("gram").alias("low"), value.alias("p")), k
+    return p
+
+
+def ratio_tables(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Log-ratios by cell for (gram, toxic, ordinary) counts: of n-grams (not a number: not seen), and of
+    contexts for the symbols that neither class has seen after them."""
+    own = Window.partitionBy(_context("gram"))
+    joined = counts.withColumn("low", _low("gram", BACKOFF[0])).join(shared_backoff(counts), "low")
+    for c in ("toxic", "ordinary"):
+        total, kinds = F.sum(c).over(own), F.sum((F.col(c) > 0).cast("long")).over(own)
+        joined = joined.withColumn(f"{c}_total", total).withColumn(f"{c}_rest", F.when(total > 0, DISCOUNT * kinds / total).otherwise(1.0))
+    p = {
+        c: F.when(F.col(f"{c}_total") > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"{c}_total")).otherwise(0.0) + F.col(f"{c}_rest") * F.col("p")
+        for c in ("toxic", "ordinary")
+    }
+    found = joined.select(
+        "gram",
+        (F.col("toxic") + F.col("ordinary")).alias("n"),
+        F.log(p["toxic"] / p["ordinary"]).alias("ratio"),
+        F.log(F.col("toxic_rest") / F.col("ordinary_rest")).alias("rest"),
     )
+    cells = F.array(
+        F.struct((F.col("gram") % GRAM_CELLS).alias("cell"), (F.col("ratio") * F.col("n")).alias("x")),
+        F.struct((_context("gram") % CONTEXT_CELLS + GRAM_CELLS).alias("cell"), (F.col("rest") * F.col("n")).alias("x")),
+    )
+    # At most GRAM_CELLS + CONTEXT_CELLS rows, whatever the input.
+    table = found.select("n", F.explode(cells).alias("c")).groupBy("c.cell").agg((F.sum("c.x") / F.sum("n")).cast("float").alias("x")).toArrow()
+    out = np.full(GRAM_CELLS + CONTEXT_CELLS, np.nan, np.float32)
+    out[table.column("cell").to_numpy()] = table.column("x").to_numpy()
+    return out[:GRAM_CELLS], np.nan_to_num(out[GRAM_CELLS:])
 
 
-def log_ratios(toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
-    """log p(symbol | context, toxic) - log p(symbol | context, ordinary) for every n-gram number."""
-    cells = 1 << SYMBOL_BITS
-    seen = (toxic + ordinary) > 0
-    # Shared backoff: continuation counts of ever shorter n-grams, over both classes.
-    levels, marks = [], seen
-    for k in range(ORDER - 1, 0, -1):
-        counts = marks.reshape(cells, -1).sum(axis=0).astype(np.float64)
-        levels.append(counts)
-        marks = counts > 0
-    shared = np.full(cells, 1.0 / cells)
-    for counts in reversed(levels):
-        by_context = counts.reshape(-1, cells)
-        total = by_context.sum(axis=1, keepdims=True)
-        kinds = (by_context > 0).sum(axis=1, keepdims=True)
-        lower = np.tile(shared.reshape(-1, cells), (len(by_context) // (len(shared) // cells), 1)) if len(shared) > cells or len(by_context) > 1 else shared.reshape(1, cells)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            own = np.maximum(by_context - DISCOUNT, 0) / total + DISCOUNT * kinds / total * lower
-        shared = np.where(total > 0, own, lower).reshape(-1)
-    lower = np.tile(shared.reshape(-1, cells), (cells, 1))
-    out = []
-    for counts in (toxic, ordinary):
-        by_context = counts.reshape(-1, cells).astype(np.float64)
-        total = by_context.sum(axis=1, keepdims=True)
-        kinds = (by_context > 0).sum(axis=1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            own = np.maximum(by_context - DISCOUNT, 0) / total + DISCOUNT * kinds / total * lower
-        out.append(np.log(np.where(total > 0, own, lower)).reshape(-1))
-    return (out[0] - out[1]).astype(np.float32)
-
-
-def evidence(column: pa.Array, ratios: np.ndarray) -> np.ndarray:
-    """Difference of log-likelihoods per word of each row; 0 without words."""
+def evidence(column: pa.Array, tables: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Difference of log-likelihoods per word of each row, words brought towards zero; 0 without words."""
+    seen, rest = tables
     out = []
     for first, end, data, places in chunks(column):
         gram, row = grams(data, places)
-        total = np.bincount(row, weights=ratios[gram], minlength=end - first)
-        words = np.bincount(row[(gram & ((1 << SYMBOL_BITS) - 1)) == 0], minlength=end - first)
-        out.append(total / np.maximum(words, 1))
+        value = seen[gram % GRAM_CELLS]
+        new = np.flatnonzero(np.isnan(value))
+        value[new] = rest[(gram[new] >> SYMBOL_BITS) % CONTEXT_CELLS]
+        last = np.flatnonzero((gram & ((1 << SYMBOL_BITS) - 1)) == 0)
+        words = np.diff(np.cumsum(value, dtype=np.float64)[last], prepend=0.0)
+        words = np.sign(words) * np.maximum(np.abs(words) - MARGIN, 0)
+        total = np.bincount(row[last], weights=words, minlength=end - first)
+        out.append(total / np.maximum(np.bincount(row[last], minlength=end - first), 1))
     return np.concatenate(out) if out else np.zeros(0)
 
 
@@ -141,9 +193,9 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratios, slope, shift = model.value
+        tables, slope, shift = model.value
         for batch in batches:
-            score = 1 / (1 + np.exp(-np.clip(slope * evidence(batch.column("text"), ratios) + shift, -30, 30)))
+            score = 1 / (1 + np.exp(-np.clip(slope * evidence(batch.column("text"), tables) + shift, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     return run
@@ -166,13 +218,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "text", F.when(F.col("toxic") > 0, 1).otherwise(0).cast("long").alias("toxic"), F.when(F.col("fold") == CALIBRATION_FOLD, 1).otherwise(0).cast("long").alias("late")
     )
     counted, path = store(training.mapInArrow(_count, "gram long, t0 long, o0 long, t1 long, o1 long, text string, toxic int"), "toxicity-counts")
-    sums = counted.where("gram is not null").groupBy("gram").agg(*[F.sum(c).alias(c) for c in ("t0", "o0", "t1", "o1")])
-    found = sums.toArrow()  # at most 2**(SYMBOL_BITS * ORDER) rows, whatever the input
-    size = 1 << (SYMBOL_BITS * ORDER)
-    table = np.zeros((4, size))
-    for k, name in enumerate(("t0", "o0", "t1", "o1")):
-        table[k, found.column("gram").to_numpy()] = found.column(name).to_numpy()
-    early = spark.sparkContext.broadcast(log_ratios(table[0], table[1]))
+    kinds = ("t0", "o0", "t1", "o1")
+    sums, sums_path = store(counted.where("gram is not null").groupBy("gram").agg(*[F.sum(c).alias(c) for c in kinds]), "toxicity-grams")
+    both = all(sums.agg(F.max("t0") > 0, F.max("o0") > 0).first())
+    early = spark.sparkContext.broadcast(ratio_tables(sums.where("t0 + o0 > 0").select("gram", F.col("t0").alias("toxic"), F.col("o0").alias("ordinary"))))
 
     def calibrating(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,13 +230,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # The curve's two numbers come from a bounded sample, spread over the fold by a hash of the evidence.
     sample = counted.where("toxic is not null").select("text", "toxic").mapInArrow(calibrating, "x double, y int").orderBy(F.xxhash64("x"), "y").limit(CALIBRATION_ROWS).toPandas()
     x, y = sample["x"].to_numpy(np.float64), sample["y"].to_numpy(np.float64)
-    if table[0].any() and table[1].any() and 0 < y.sum() < len(y):
+    if both and 0 < y.sum() < len(y):
         slope, shift = logistic(x, y)
     else:
         share = (y.sum() + 1e-9) / (len(y) + 1e-6)
         slope, shift = 0.0, float(np.log(share / (1 - share))) if 0 < share < 1 else -30.0
-    model = spark.sparkContext.broadcast((log_ratios(table[0] + table[2], table[1] + table[3]), slope, shift))
-    remove(spark, path)
+    tables = ratio_tables(sums.select("gram", F.expr("t0 + t1").alias("toxic"), F.expr("o0 + o1").alias("ordinary")))
+    model = spark.sparkContext.broadcast((tables, slope, shift))
+    remove(spark, path, sums_path)
     return rows.select("doc_id", F.coalesce(F.col("fold") == 0, F.lit(False)).alias("held_out"), "text").mapInArrow(
         _score(model), "doc_id long, held_out boolean, score double, predicted int"
     )
