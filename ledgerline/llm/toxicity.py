@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import LOWER, chunks, prepare, remove, store, word_places
 
-ORDER = 8
-BACKOFF = (6, 4, 2)
+ORDER = 5
+BACKOFF = (4, 3, 2, 1)
 SYMBOL_BITS = 5
 DISCOUNT = 0.9
-MARGIN = 3.0
+MARGIN = 4.0
 GRAM_CELLS = 4_194_301
 CONTEXT_CELLS = 2_097_143
 COUNT_SYMBOLS = 1 << 23
@@ -69,7 +69,7 @@ def grams(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         before[at < k] = 0
         out |= before << (SYMBOL_BITS * k)
         k *= 2
-    return out, np.repeat(row, size)
+    return out & ((1 << (SYMBOL_BITS * ORDER)) - 1), np.repeat(row, size)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
