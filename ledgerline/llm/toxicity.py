@@ -13,8 +13,8 @@ have not seen, gives the score.
 
 Bytes are first mapped to 32 symbols, so an n-gram of ORDER symbols is a number below 2**(5 ORDER).
 All training rows are counted and the models are computed from the exact counts as DataFrames; the
-log-ratios go to the tasks in tables of a fixed number of cells, in which n-grams that meet are
-averaged by their counts.
+log-ratios go to the tasks in tables of a fixed size, one half-precision number for each n-gram
+(64 MB) and one for each context (4 MB).
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ BACKOFF = (4, 3, 2, 1)
 SYMBOL_BITS = 5
 DISCOUNT = 0.9
 MARGIN = 4.0
-GRAM_CELLS = 4_194_301
-CONTEXT_CELLS = 2_097_143
+GRAM_CELLS = 1 << (SYMBOL_BITS * ORDER)
+CONTEXT_CELLS = GRAM_CELLS >> SYMBOL_BITS
 COUNT_SYMBOLS = 1 << 23
 FOLDS = 5
 CALIBRATION_FOLD = 4
@@ -158,7 +158,7 @@ def ratio_tables(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     table = found.select("n", F.explode(cells).alias("c")).groupBy("c.cell").agg((F.sum("c.x") / F.sum("n")).cast("float").alias("x")).toArrow()
     out = np.full(GRAM_CELLS + CONTEXT_CELLS, np.nan, np.float32)
     out[table.column("cell").to_numpy()] = table.column("x").to_numpy()
-    return out[:GRAM_CELLS], np.nan_to_num(out[GRAM_CELLS:])
+    return out[:GRAM_CELLS].astype(np.float16), np.nan_to_num(out[GRAM_CELLS:])
 
 
 def evidence(column: pa.Array, tables: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -167,7 +167,7 @@ def evidence(column: pa.Array, tables: tuple[np.ndarray, np.ndarray]) -> np.ndar
     out = []
     for first, end, data, places in chunks(column):
         gram, row = grams(data, places)
-        value = seen[gram % GRAM_CELLS]
+        value = seen[gram].astype(np.float32)
         new = np.flatnonzero(np.isnan(value))
         value[new] = rest[(gram[new] >> SYMBOL_BITS) % CONTEXT_CELLS]
         last = np.flatnonzero((gram & ((1 << SYMBOL_BITS) - 1)) == 0)
