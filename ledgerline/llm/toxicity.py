@@ -6,10 +6,10 @@ an expression share its contexts. The lower orders, on which rare expressions fa
 continuation counts shared by both classes.
 
 A document's evidence is the difference of its two log-likelihoods over its number of words. The
-share of a word in it is brought towards zero by ``MARGIN``: smaller differences come from the mix
+share of a word in it is brought towards zero by a margin: smaller differences come from the mix
 of languages and from chance, and over hundreds of words they would outweigh a few clear
-expressions. A logistic curve on the evidence, fitted on training documents that the fitted models
-have not seen, gives the score.
+expressions. The margin is that of ``MARGINS`` whose evidence ranks training documents best that the
+fitted models have not seen; a logistic curve fitted on the same documents gives the score.
 
 Bytes are first mapped to 32 symbols, so an n-gram of ORDER symbols is a number below 2**(5 ORDER).
 All training rows are counted and the models are computed from the exact counts as DataFrames; the
@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ ORDER = 5
 BACKOFF = (4, 3, 2, 1)
 SYMBOL_BITS = 5
 DISCOUNT = 0.9
-MARGIN = 4.0
+MARGINS = (0.0, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 8.0)
 GRAM_CELLS = 1 << (SYMBOL_BITS * ORDER)
 CONTEXT_CELLS = GRAM_CELLS >> SYMBOL_BITS
 COUNT_SYMBOLS = 1 << 23
@@ -161,8 +162,9 @@ def ratio_tables(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return out[:GRAM_CELLS].astype(np.float16), np.nan_to_num(out[GRAM_CELLS:])
 
 
-def evidence(column: pa.Array, tables: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Difference of log-likelihoods per word of each row, words brought towards zero; 0 without words."""
+def evidence(column: pa.Array, tables: tuple[np.ndarray, np.ndarray], margins: tuple[float, ...]) -> np.ndarray:
+    """Difference of log-likelihoods per word of each row, words brought towards zero by each of ``margins``
+    (one column each); 0 without words."""
     seen, rest = tables
     out = []
     for first, end, data, places in chunks(column):
@@ -172,10 +174,10 @@ def evidence(column: pa.Array, tables: tuple[np.ndarray, np.ndarray]) -> np.ndar
         value[new] = rest[(gram[new] >> SYMBOL_BITS) % CONTEXT_CELLS]
         last = np.flatnonzero((gram & ((1 << SYMBOL_BITS) - 1)) == 0)
         words = np.diff(np.cumsum(value, dtype=np.float64)[last], prepend=0.0)
-        words = np.sign(words) * np.maximum(np.abs(words) - MARGIN, 0)
-        total = np.bincount(row[last], weights=words, minlength=end - first)
-        out.append(total / np.maximum(np.bincount(row[last], minlength=end - first), 1))
-    return np.concatenate(out) if out else np.zeros(0)
+        n = np.maximum(np.bincount(row[last], minlength=end - first), 1)
+        nearer = (np.sign(words) * np.maximum(np.abs(words) - margin, 0) for margin in margins)
+        out.append(np.column_stack([np.bincount(row[last], weights=w, minlength=end - first) / n for w in nearer]))
+    return np.concatenate(out) if out else np.zeros((0, len(margins)))
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -191,11 +193,18 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return slope, theta[1] - slope * middle
 
 
+def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+    """Margin that ranks best (equal values count half; the first of equals), slope and shift; ``x`` has a column for each of MARGINS."""
+    # Sums of average ranks of the toxic rows order the margins as the areas under their curves do.
+    best = int(np.argmax([pd.Series(column).rank().to_numpy() @ y for column in x.T]))
+    return MARGINS[best], *logistic(x[:, best], y)
+
+
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, slope, shift = model.value
+        tables, margin, slope, shift = model.value
         for batch in batches:
-            score = 1 / (1 + np.exp(-np.clip(slope * evidence(batch.column("text"), tables) + shift, -30, 30)))
+            score = 1 / (1 + np.exp(-np.clip(slope * evidence(batch.column("text"), tables, (margin,))[:, 0] + shift, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     return run
@@ -225,18 +234,20 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def calibrating(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(evidence(batch.column("text"), early.value)), batch.column("toxic")], names=["x", "y"])
+            x = evidence(batch.column("text"), early.value, MARGINS)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * len(MARGINS), pa.int32()), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([lists, batch.column("toxic")], names=["x", "y"])
 
-    # The curve's two numbers come from a bounded sample, spread over the fold by a hash of the evidence.
-    sample = counted.where("toxic is not null").select("text", "toxic").mapInArrow(calibrating, "x double, y int").orderBy(F.xxhash64("x"), "y").limit(CALIBRATION_ROWS).toPandas()
-    x, y = sample["x"].to_numpy(np.float64), sample["y"].to_numpy(np.float64)
+    # The margin and the curve's two numbers come from a bounded sample, spread over the fold by a hash of the evidence.
+    sample = counted.where("toxic is not null").select("text", "toxic").mapInArrow(calibrating, "x array<double>, y int").orderBy(F.xxhash64("x"), "y").limit(CALIBRATION_ROWS).toPandas()
+    y = sample["y"].to_numpy(np.float64)
     if both and 0 < y.sum() < len(y):
-        slope, shift = logistic(x, y)
+        margin, slope, shift = fit_curve(np.stack(sample["x"]), y)
     else:
         share = (y.sum() + 1e-9) / (len(y) + 1e-6)
-        slope, shift = 0.0, float(np.log(share / (1 - share))) if 0 < share < 1 else -30.0
+        margin, slope, shift = 0.0, 0.0, float(np.log(share / (1 - share))) if 0 < share < 1 else -30.0
     tables = ratio_tables(sums.select("gram", F.expr("t0 + t1").alias("toxic"), F.expr("o0 + o1").alias("ordinary")))
-    model = spark.sparkContext.broadcast((tables, slope, shift))
+    model = spark.sparkContext.broadcast((tables, margin, slope, shift))
     remove(spark, path, sums_path)
     return rows.select("doc_id", F.coalesce(F.col("fold") == 0, F.lit(False)).alias("held_out"), "text").mapInArrow(
         _score(model), "doc_id long, held_out boolean, score double, predicted int"
