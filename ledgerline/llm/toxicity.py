@@ -14,7 +14,7 @@ fitted models have not seen; a logistic curve fitted on the same documents gives
 Bytes are first mapped to 32 symbols, so an n-gram of ORDER symbols is a number below 2**(5 ORDER).
 All training rows are counted and the models are computed from the exact counts as DataFrames; the
 log-ratios go to the tasks in tables of a fixed size, one half-precision number for each n-gram
-(64 MB) and one for each context (4 MB).
+(64 MB) and one for each context (2 MB), compressed on the way: most n-grams are never seen.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,9 +134,9 @@ def shared_backoff(counts: DataFrame) -> DataFrame:
     return p
 
 
-def ratio_tables(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def ratio_tables(counts: DataFrame) -> bytes:
     """Log-ratios by cell for (gram, toxic, ordinary) counts: of n-grams (not a number: not seen), and of
-    contexts for the symbols that neither class has seen after them."""
+    contexts for the symbols that neither class has seen after them; ``unpacked`` restores both."""
     own = Window.partitionBy(_context("gram"))
     joined = counts.withColumn("low", _low("gram", BACKOFF[0])).join(shared_backoff(counts), "low")
     for c in ("toxic", "ordinary"):
@@ -157,9 +158,15 @@ def ratio_tables(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     )
     # At most GRAM_CELLS + CONTEXT_CELLS rows, whatever the input.
     table = found.select("n", F.explode(cells).alias("c")).groupBy("c.cell").agg((F.sum("c.x") / F.sum("n")).cast("float").alias("x")).toArrow()
-    out = np.full(GRAM_CELLS + CONTEXT_CELLS, np.nan, np.float32)
+    out = np.full(GRAM_CELLS + CONTEXT_CELLS, np.nan, np.float16)
     out[table.column("cell").to_numpy()] = table.column("x").to_numpy()
-    return out[:GRAM_CELLS].astype(np.float16), np.nan_to_num(out[GRAM_CELLS:])
+    return zstandard.compress(out, 3)
+
+
+def unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Tables of n-grams and of contexts."""
+    cells = np.frombuffer(zstandard.decompress(packed), np.float16)
+    return cells[:GRAM_CELLS], np.nan_to_num(cells[GRAM_CELLS:].astype(np.float32))
 
 
 def evidence(column: pa.Array, tables: tuple[np.ndarray, np.ndarray], margins: tuple[float, ...]) -> np.ndarray:
@@ -202,7 +209,8 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
 
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, margin, slope, shift = model.value
+        packed, margin, slope, shift = model.value
+        tables = unpacked(packed)
         for batch in batches:
             score = 1 / (1 + np.exp(-np.clip(slope * evidence(batch.column("text"), tables, (margin,))[:, 0] + shift, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
@@ -233,13 +241,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     early = spark.sparkContext.broadcast(ratio_tables(sums.where("t0 + o0 > 0").select("gram", F.col("t0").alias("toxic"), F.col("o0").alias("ordinary"))))
 
     def calibrating(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = unpacked(early.value)
         for batch in batches:
-            x = evidence(batch.column("text"), early.value, MARGINS)
+            x = evidence(batch.column("text"), tables, MARGINS)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * len(MARGINS), pa.int32()), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([lists, batch.column("toxic")], names=["x", "y"])
 
     # The margin and the curve's two numbers come from a bounded sample, spread over the fold by a hash of the evidence.
     sample = counted.where("toxic is not null").select("text", "toxic").mapInArrow(calibrating, "x array<double>, y int").orderBy(F.xxhash64("x"), "y").limit(CALIBRATION_ROWS).toPandas()
+    early.destroy()
     y = sample["y"].to_numpy(np.float64)
     if both and 0 < y.sum() < len(y):
         margin, slope, shift = fit_curve(np.stack(sample["x"]), y)
