@@ -3,8 +3,10 @@
 Two histograms describe a document: character classes, and the common words of all known
 languages (with one cell for every other word). The reference of a language is the mean histogram
 of its documents that pass the base rules. A document is kept when its Jensen-Shannon distances
-to the nearest reference stay under both limits. Documents too short for a stable histogram are
-not judged by it. Everything is DataFrame expressions; there is no Python in the tasks.
+to the nearest reference stay under both limits. The limit of the word distance is the upper fence
+of the distances of all documents that pass the base rules, as their scale depends on how often the
+common words stand in the texts. Documents too short for a stable histogram are not judged by it.
+Everything is DataFrame expressions; there is no Python in the tasks.
 """
 
 from __future__ import annotations
@@ -29,7 +31,10 @@ REPEATED_PERCENT = 50
 MIN_CHARS_CLASSES = 200
 MIN_WORDS_COMMON = 100
 CLASS_LIMIT = 0.25
-WORD_LIMIT = 0.55
+#: The word limit lies this many quartile distances over the upper quartile; quartiles need some documents.
+WORD_FENCE = 1.5
+MIN_DOCUMENTS = 20
+DISTANCE_CELLS = 4096
 #: Character classes by what removing everything else leaves; the rest of the text is the last class.
 CLASSES = {"upper": "[^A-Z]+", "digit": "[^0-9]+", "symbol": r"[^#*$%&|<>!~^_={}\[\]\\/@+]+", "mark": r"[^.,;:?'\"()-]+", "beyond": r"[\x00-\x7F]+"}
 
@@ -112,13 +117,36 @@ def _mean(column: str, size: int) -> Column:
     return F.array(*[F.avg(F.element_at(column, k + 1)) for k in range(size)]).alias(column)
 
 
+def word_limit(judged: DataFrame) -> float | None:
+    """Upper fence of the word distances of all documents that pass the base rules and are long enough;
+    equal histograms count once, so that copies do not narrow it. None with too few."""
+    own = judged.where(~F.col("base_failed") & (F.col("n_words") >= MIN_WORDS_COMMON) & F.col("word_distance").isNotNull())
+    cells = own.select(F.floor(F.col("word_distance") * DISTANCE_CELLS).cast("int").alias("cell"), "histogram").distinct()
+    # At most DISTANCE_CELLS + 1 rows, whatever the input.
+    counts = sorted((r["cell"], r["n"]) for r in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect())
+    total = sum(n for _, n in counts)
+    if total < MIN_DOCUMENTS:
+        return None
+    quartiles = []
+    for part in (1, 3):
+        before = 0
+        for cell, n in counts:
+            before += n
+            if 4 * before >= part * total:
+                quartiles.append((cell + 0.5) / DISTANCE_CELLS)
+                break
+    lower, upper = quartiles
+    return upper + WORD_FENCE * (upper - lower)
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: counts, base_failed, kept and the two distances.
 
     A null or empty text has no words, so it fails the base rules. A document without a known
     language, or of a language without a reference, is compared with all references; the nearest
     counts for every document, so a wrong label does no harm. With no reference at all (no document
-    passes the base rules) nothing is judged by distance. Repeated rows are judged one by one.
+    passes the base rules) nothing is judged by distance; with fewer than MIN_DOCUMENTS long enough
+    for it, nothing by words. Repeated rows are judged one by one.
     Other columns are not read.
     """
     spark = docs.sparkSession
@@ -137,9 +165,17 @@ def judge(docs: DataFrame) -> DataFrame:
     judged = found.join(F.broadcast(references))
     nearest = lambda c: F.array_min(F.transform("references", lambda r: js_distance(F.col(c), r[c])))
     judged = judged.withColumn("class_distance", nearest("class_shares")).withColumn("word_distance", nearest("word_shares"))
+    judged, _ = store(
+        judged.select(
+            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance",
+            F.xxhash64("n_words", "common").alias("histogram"),
+        ),
+        "quality-distances",
+    )
+    limit = F.lit(word_limit(judged)).cast("double")
     strange = (
         ((F.col("word_chars") >= MIN_CHARS_CLASSES) & (F.col("class_distance") > CLASS_LIMIT))
-        | ((F.col("n_words") >= MIN_WORDS_COMMON) & (F.col("word_distance") > WORD_LIMIT))
+        | ((F.col("n_words") >= MIN_WORDS_COMMON) & (F.col("word_distance") > limit))
     )
     return judged.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(strange, F.lit(False))).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance"

@@ -173,6 +173,25 @@ def test_quality_counts_and_verdicts(spark):
     assert sum(g.kept for g, q in labelled if q == 0) < 0.6 * sum(q == 0 for _, q in labelled)
 
 
+def test_each_quality_rule_by_itself(spark):
+    docs = small(spark, "documents").select("doc_id", "lang", "text")
+    good = {r.doc_id for r in small(spark, "labels").where("quality = 1").collect()}
+    judged = {r.doc_id: r for r in quality.judge(docs).collect()}
+    source = [r for r in docs.collect() if r.doc_id in good and judged[r.doc_id].kept and judged[r.doc_id].n_words >= 150][:4]
+    assert len(source) == 4
+    common = set(quality._vocabulary())
+    rename = lambda t: re.sub(r"\S+", lambda m: "zq" + m.group() if m.group().lower() in common else m.group(), t)
+    noise = lambda t: re.sub(r"\S+", lambda m: m.group() if m.group().lower() in common else m.group() + "#%&*" * 3, t)
+    # The same documents without common words, and with symbols at all other words.
+    rows = [(10_000 + k, r.lang, rename(r.text)) for k, r in enumerate(source)] + [(20_000 + k, r.lang, noise(r.text)) for k, r in enumerate(source)]
+    got = {r.doc_id: r for r in quality.judge(docs.unionByName(spark.createDataFrame(rows, "doc_id long, lang string, text string"))).collect()}
+    for k, r in enumerate(source):
+        foreign, noisy = got[10_000 + k], got[20_000 + k]
+        assert got[r.doc_id].kept
+        assert not foreign.base_failed and not foreign.kept and foreign.class_distance <= quality.CLASS_LIMIT
+        assert not noisy.base_failed and not noisy.kept and noisy.word_distance <= got[r.doc_id].word_distance + 1e-9
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql_twin(spark, name):
     db = duckdb.connect()
