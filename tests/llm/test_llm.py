@@ -254,6 +254,24 @@ def test_secrets(spark):
     assert "abc/def" not in secrets_scan.redacted(text, net)
 
 
+def test_secrets_in_every_wide_run():
+    net = secrets_scan.trained()
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    key = lambda n, alphabet: "".join(rng.choice(alphabet) for _ in range(n))
+    both = letters + letters.upper()
+    path = "/".join(["docs", "images", "guide", "chapter", "drawings", "figures", "archive"] * 2) + "/"
+    few_digits = [key(26, both) + "7" for _ in range(100)]
+    plain = [key(30, both + "0123456789") for _ in range(100)]
+    for texts in ([f"see {k} here" for k in few_digits], [f"see {path}{k} here" for k in plain], [f"see {'=' * 60}{k} here" for k in plain], [f"see {path}{k}/{path} here" for k in plain]):
+        assert sum("[secret]" in secrets_scan.redacted(t, net) for t in texts) >= 90
+    harmless = [f"see {path}{path} here", "see " + "=" * 100 + " here", "eine donaudampfschifffahrtsgesellschaft hier", "the CustomerOrderHistoryServiceFactory class"]
+    assert sum("[secret]" in secrets_scan.redacted(t, net) for t in harmless) == 0
+    # The last window of a long run shows what stands after it.
+    views = [v for _, v in secrets_scan.windows_of("a" * 100 + " after it all", 0, 100)]
+    assert " after it all"[: secrets_scan.AFTER] in views[-1]
+
+
 def test_toxicity_held_out(spark):
     # sf0.01 has six held-out toxic rows and some 35 to learn from: too few to measure a ranking.
     df = toxicity.score_toxicity(spark.read.parquet(SMALL.replace("0.001", "0.1") + "/documents.parquet"), spark.read.parquet(SMALL.replace("0.001", "0.1") + "/labels.parquet"))
