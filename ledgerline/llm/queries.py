@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.archives import archive_path, read_archives, write_archives
+from ledgerline.llm.conversations import REPAIR_SQL, repair
 from ledgerline.llm.html_text import extract
 from ledgerline.llm.mixing import mix, mix_sql
 from ledgerline.llm.ngram_join import jaccard_classes
@@ -81,6 +82,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_kneser_ney_toxicity": op1_kneser_ney_toxicity,
     "op2_warc_zstd_archives": op2_warc_zstd_archives,
@@ -92,5 +97,6 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_conversation_repair": op12_conversation_repair,
 }
-ORACLES: dict[str, str] = {"op2_warc_zstd_archives": OP2_SQL, "op7_mixing_to_target_weights": mix_sql()}
+ORACLES: dict[str, str] = {"op2_warc_zstd_archives": OP2_SQL, "op7_mixing_to_target_weights": mix_sql(), "op12_conversation_repair": REPAIR_SQL}
