@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.archives import archive_path, read_archives, write_archives
+from ledgerline.llm.ball_tree import SEARCH_SQL, search
 from ledgerline.llm.conversations import REPAIR_SQL, repair
 from ledgerline.llm.html_text import extract
 from ledgerline.llm.mixing import mix, mix_sql
 from ledgerline.llm.ngram_join import jaccard_classes
 from ledgerline.llm.packing import pack
 from ledgerline.llm.quality import judge
+from ledgerline.llm.quality_model import score_quality
 from ledgerline.llm.secrets_scan import scan
 from ledgerline.llm.text_runs import remove_repeats
 from ledgerline.llm.toxicity import score_toxicity
@@ -82,10 +84,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op11_sparse_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(_table(spark, sf_dir, "conversations"))
 
 
+def op13_naive_bayes_support_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_kneser_ney_toxicity": op1_kneser_ney_toxicity,
     "op2_warc_zstd_archives": op2_warc_zstd_archives,
@@ -97,6 +107,8 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_sparse_ball_tree_search": op11_sparse_ball_tree_search,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_naive_bayes_support_vectors": op13_naive_bayes_support_vectors,
 }
-ORACLES: dict[str, str] = {"op2_warc_zstd_archives": OP2_SQL, "op7_mixing_to_target_weights": mix_sql(), "op12_conversation_repair": REPAIR_SQL}
+ORACLES: dict[str, str] = {"op2_warc_zstd_archives": OP2_SQL, "op7_mixing_to_target_weights": mix_sql(), "op11_sparse_ball_tree_search": SEARCH_SQL, "op12_conversation_repair": REPAIR_SQL}
