@@ -17,16 +17,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import CHUNK_BYTES, LOWER, Roller, chunks, mix, prepare, remove, store, word_places
+from ledgerline.llm.common import CHUNK_BYTES, LOWER, Roller, chunks, prepare, remove, store, word_places
 
 FOLDS, HELD_FOLD, LATE_FOLD = 4, 2, 3
 THRESHOLD = 0.7
 CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 BYTE_ORDERS = (2, 3, 4)
+MULTIPLIERS = {2: 0x9E3779B1, 3: 0x85EBCA77, 4: 0xC2B2AE3D}
+SLICE_CELLS = 1 << 14
 SMOOTHING = 1.0
 SAMPLE_ROWS = 3000
 COST = 1.0
@@ -45,39 +48,64 @@ def fold(doc_id: Column) -> Column:
 # -- features ------------------------------------------------------------------------------
 
 
-def _cell(hashes: np.ndarray, kind: int) -> np.ndarray:
-    return (mix(hashes + np.uint64(0x9E3779B97F4A7C15 * (kind + 1) & (1 << 64) - 1)) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-
-
-def features(data: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Sorted distinct numbers ``row * CELLS + cell`` of the texts' n-grams, some megabytes of text at a time."""
-    start, end, row = word_places(data, places)
-    owner = np.repeat(np.arange(len(places) - 1), np.diff(places))
-    out = np.zeros(0, np.int64)
-    for first in range(0, len(data), CHUNK_BYTES):
-        keys = []
-        stop = min(first + CHUNK_BYTES, len(data))
-        a, b = np.searchsorted(start, [first, stop])
-        if b > a:
-            b1 = min(b + 1, len(start))  # the word after the slice ends its last pair
-            low = LOWER[data[start[a] : end[b1 - 1]]]
-            word = ROLLER.ranges(ROLLER.sums(low), start[a:b1] - start[a], end[a:b1] - start[a])
-            keys.append(row[a:b] * CELLS + _cell(word[: b - a], 0))
-            pair = np.flatnonzero(row[a : b1 - 1] == row[a + 1 : b1])
-            keys.append(row[a + pair] * CELLS + _cell(word[pair] * np.uint64(0x100000001B3) ^ word[pair + 1], 1))
-        for k in BYTE_ORDERS:
-            n = min(stop, len(data) - k + 1) - first
-            if n > 0:
-                at = first + np.flatnonzero(owner[first : first + n] == owner[first + k - 1 : first + k - 1 + n])
-                code = np.zeros(len(at), np.uint64)
-                for j in range(k):
-                    code |= data[at + j].astype(np.uint64) << np.uint64(8 * j)
-                keys.append(owner[at] * CELLS + _cell(code, k))
-        found = np.unique(np.concatenate(keys)) if keys else out[:0]
-        out = found if len(out) == 0 else np.union1d(out, found)
+def byte_grams(data: np.ndarray, first: int, stop: int) -> list[np.ndarray]:
+    """Cells of the byte n-grams that start from ``first`` to ``stop - 1``, one array for each of BYTE_ORDERS."""
+    part = data[first : stop + BYTE_ORDERS[-1] - 1]
+    code, out = part.astype(np.uint32), []
+    for k in range(2, BYTE_ORDERS[-1] + 1):
+        n = max(len(part) - k + 1, 0)
+        code = code[:n] | part[k - 1 : k - 1 + n].astype(np.uint32) << np.uint32(8 * (k - 1))
+        if k in BYTE_ORDERS:
+            out.append((code[: stop - first] * np.uint32(MULTIPLIERS[k]) >> np.uint32(32 - CELL_BITS)).astype(np.intp))
     return out
 
 
+def word_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray, first: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of the words ``first`` to ``stop - 1``, and of the pairs that begin with them (-1 where a row ends)."""
+    last = min(stop + 1, len(start))  # the word after them ends their last pair
+    if stop <= first:
+        return np.zeros(0, np.intp), np.zeros(0, np.intp)
+    low = LOWER[data[start[first] : end[last - 1]]]
+    own = slice(first, last)
+    word = ROLLER.ranges(ROLLER.sums(low), start[own] - start[first], end[own] - start[first])
+    shift = np.uint64(64 - CELL_BITS)
+    pair = np.full(stop - first, -1, np.intp)
+    same = np.flatnonzero(row[first : last - 1] == row[first + 1 : last])
+    pair[same] = ((word[same] * np.uint64(0x100000001B3) ^ word[same + 1]) * np.uint64(0x9E3779B97F4A7C15) >> shift).astype(np.intp)
+    return (word[: stop - first] >> shift).astype(np.intp), pair
+
+
+class Features:
+    """Distinct cells of the n-grams of each row, in no order. A scratch table tells repeats without sorting."""
+
+    def __init__(self) -> None:
+        self.stamp = np.zeros(CELLS, np.int32)
+
+    def distinct(self, parts: list[np.ndarray]) -> np.ndarray:
+        cells = np.concatenate(parts)
+        turn = np.arange(len(cells), dtype=np.int32)
+        self.stamp[cells] = turn
+        return cells[self.stamp[cells] == turn]
+
+    def __call__(self, data: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
+        start, end, row = word_places(data, places)
+        if len(data) > 2 * CHUNK_BYTES:  # a single very long row, taken in slices
+            out = np.zeros(0, np.intp)
+            for first in range(0, len(data), CHUNK_BYTES):
+                stop = min(first + CHUNK_BYTES, len(data))
+                word, pair = word_grams(data, start, end, row, *np.searchsorted(start, [first, stop]))
+                out = self.distinct([out, word, pair[pair >= 0], *byte_grams(data, first, stop)])
+            yield out
+            return
+        grams = byte_grams(data, 0, len(data))
+        word, pair = word_grams(data, start, end, row, 0, len(start))
+        cuts = np.searchsorted(row, np.arange(len(places)))
+        for r, (a, b) in enumerate(zip(places[:-1], places[1:])):
+            own = slice(cuts[r], cuts[r + 1])
+            pairs = pair[own]
+            yield self.distinct([word[own], pairs[pairs >= 0], *(g[a : max(b - k + 1, a)] for k, g in zip(BYTE_ORDERS, grams))])
+
+
 def log_ratios(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
     """Log-count ratios of the cells, 0 for cells that neither class has."""
     seen = (good + bad) > 0
@@ -144,28 +172,34 @@ def curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, floa
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows that have each cell, by class and fold, once per task; sampled texts go along."""
-    names = ["cell", *KINDS, "text", "good", "late"]
+    """Rows that have each cell, by class and fold, packed by slices of cells once per task; sampled texts go along."""
+    names = ["slice", "packed", "text", "good", "late"]
     counts = np.zeros((len(KINDS), CELLS), np.int64)
+    features = Features()
     for batch in batches:
         good, late = batch.column("good").to_numpy(), batch.column("late").to_numpy()
         kind = good + 2 * late
-        for first, end, data, places in chunks(batch.column("text")):
-            keys = features(data, places)
-            row, cell = keys >> CELL_BITS, keys & (CELLS - 1)
-            own = kind[first:end][row]
-            for k in np.unique(kind[first:end]):
-                counts[k] += np.bincount(cell[own == k], minlength=CELLS)
+        for first, _, data, places in chunks(batch.column("text")):
+            for i, cells in enumerate(features(data, places)):
+                counts[kind[first + i], cells] += 1
         keep = np.flatnonzero(batch.column("sampled").to_numpy(zero_copy_only=False))
         if len(keep):
-            none = pa.nulls(len(keep), pa.int64())
             texts = batch.column("text").take(pa.array(keep))
-            yield pa.RecordBatch.from_arrays([none] * 5 + [texts.fill_null(""), pa.array(good[keep]), pa.array(late[keep])], names=names)
-    cells = np.flatnonzero(counts.sum(0))
-    for first in range(0, len(cells), 1 << 16):
-        part = cells[first : first + (1 << 16)]
-        none = [pa.nulls(len(part), t) for t in (pa.string(), pa.int64(), pa.int64())]
-        yield pa.RecordBatch.from_arrays([pa.array(part), *(pa.array(c[part]) for c in counts), *none], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(keep), pa.int32()), pa.nulls(len(keep), pa.binary()), texts.fill_null(""), pa.array(good[keep]), pa.array(late[keep])], names=names)
+    packer = zstandard.ZstdCompressor(level=3)
+    rows = [(i, packer.compress(np.ascontiguousarray(part).tobytes())) for i, part in enumerate(np.split(counts, CELLS // SLICE_CELLS, axis=1)) if part.any()]
+    none = [pa.nulls(len(rows), t) for t in (pa.string(), pa.int64(), pa.int64())]
+    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), *none], names=names)
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the packed counts by slice. All slices together have CELLS cells, whatever the input."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i, packed in zip(batch.column("slice").to_pylist(), batch.column("packed").to_pylist()):
+            part = np.frombuffer(zstandard.decompress(packed), np.int64)
+            held[i] = held[i] + part if i in held else part
+    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], names=["slice", "packed"])
 
 
 def _fit(ratios):
@@ -173,15 +207,12 @@ def _fit(ratios):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         early, whole, rates = ratios.value
-        rows, good, late = [], [], []
+        rows, good, late, features = [], [], [], Features()
         for batch in batches:
             good.append(batch.column("good").to_numpy())
             late.append(batch.column("late").to_numpy())
-            for first, end, data, places in chunks(batch.column("text")):
-                keys = features(data, places)
-                cuts = np.searchsorted(keys, np.arange(end - first + 1) * CELLS)
-                cells = (keys & (CELLS - 1)).astype(np.int32)
-                rows += [cells[a:b].copy() for a, b in zip(cuts[:-1], cuts[1:])]
+            for _, _, data, places in chunks(batch.column("text")):
+                rows += [np.sort(cells).astype(np.int32) for cells in features(data, places)]
         good, late = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (good, late))
         if len(set(zip(good, late))) < 4:
             return
@@ -206,14 +237,12 @@ def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed, bias, slope, shift = model.value
         values, squares = (x.astype(np.float64) for x in np.split(np.frombuffer(packed, np.float32), 2))
+        features = Features()
         for batch in batches:
-            out = []
-            for first, end, data, places in chunks(batch.column("text")):
-                keys = features(data, places)
-                row, cell = keys >> CELL_BITS, keys & (CELLS - 1)
-                sums = [np.bincount(row, x[cell], end - first) for x in (values, squares)]
-                out.append(sums[0] / np.sqrt(np.maximum(sums[1], 1e-12)) + bias)
-            x = np.concatenate(out) if out else np.zeros(0)
+            x = np.zeros(batch.num_rows)
+            for first, _, data, places in chunks(batch.column("text")):
+                for i, cells in enumerate(features(data, places)):
+                    x[first + i] = values[cells].sum() / np.sqrt(max(squares[cells].sum(), 1e-12)) + bias
             score = 1 / (1 + np.exp(-np.clip(slope * x + shift, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
@@ -248,12 +277,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     training = rows.where(F.col("fold") != HELD_FOLD).join(marks.hint("merge"), "doc_id").select(
         "text", F.col("good").cast("long").alias("good"), (F.col("fold") == LATE_FOLD).cast("long").alias("late"), draw.alias("sampled")
     )
-    fields = ", ".join(f"{k} long" for k in KINDS)
-    counted, path = store(training.mapInArrow(_count, f"cell long, {fields}, text string, good long, late long"), "quality-counts")
-    # At most CELLS rows, whatever the input.
-    table = counted.where("cell is not null").groupBy("cell").agg(*[F.sum(k).alias(k) for k in KINDS]).toArrow()
+    counted, path = store(training.mapInArrow(_count, "slice int, packed binary, text string, good long, late long"), "quality-counts")
     counts = np.zeros((len(KINDS), CELLS))
-    counts[:, table.column("cell").to_numpy()] = [table.column(k).to_numpy() for k in KINDS]
+    added = counted.where("slice is not null").select("slice", "packed").repartition("slice").mapInArrow(_add, "slice int, packed binary")
+    for row in added.toLocalIterator():
+        at = row["slice"] * SLICE_CELLS
+        counts[:, at : at + SLICE_CELLS] = np.frombuffer(row["packed"], np.int64).reshape(len(KINDS), -1)
     bad, good = counts[0] + counts[2], counts[1] + counts[3]
     ratios = spark.sparkContext.broadcast((log_ratios(counts[1], counts[0]), log_ratios(good, bad), rates))
     sample = counted.where("text is not null").select("text", "good", "late")

@@ -26,19 +26,22 @@ def plain_grams(text):
     return grams | {(k, raw[i : i + k]) for k in qm.BYTE_ORDERS for i in range(len(raw) - k + 1)}
 
 
+def cells_of(texts):
+    return [sorted(c.tolist()) for c in qm.Features()(*buffer(texts))]
+
+
 def test_features_are_the_distinct_ngrams(monkeypatch):
     texts = ["Ab ab  AB", "", "a", "xy zw\nxy zw", "ünï ÜNÏ!", " \t"]
-    whole = qm.features(*buffer(texts))
-    sizes = Counter((whole >> qm.CELL_BITS).tolist())
-    assert [sizes[i] for i in range(len(texts))] == [len(plain_grams(t)) for t in texts]  # no two share a cell here
-    for i, text in enumerate(texts):
-        alone = qm.features(*buffer([text]))
-        assert (alone & (qm.CELLS - 1)).tolist() == (whole[whole >> qm.CELL_BITS == i] & (qm.CELLS - 1)).tolist()
+    found = cells_of(texts)
+    assert [len(c) for c in found] == [len(plain_grams(t)) for t in texts]  # no two share a cell here
+    assert all(len(set(c)) == len(c) for c in found)
+    for text, cells in zip(texts, found):
+        assert cells_of([text]) == [cells]
+    assert set(found[0]) & set(cells_of(["ab"])[0])
     long = "word " * 40 + "a" * 90 + " tail end"
+    whole = cells_of([long])
     monkeypatch.setattr(qm, "CHUNK_BYTES", 7)
-    cut = qm.features(*buffer([long]))
-    monkeypatch.setattr(qm, "CHUNK_BYTES", 1 << 20)
-    assert cut.tolist() == qm.features(*buffer([long])).tolist()
+    assert cells_of([long]) == whole
 
 
 def test_ratios():
@@ -69,13 +72,16 @@ def test_dual_descent_reaches_the_optimum(monkeypatch):
 def test_counts_cover_all_rows(spark):
     texts = [("one two", 1, 0), ("two three", 1, 1), ("bad!! two", 0, 0), (None, 0, 1), ("two", 0, 1)]
     df = spark.createDataFrame([(t, g, l, False) for t, g, l in texts], "text string, good long, late long, sampled boolean").repartition(2)
-    fields = ", ".join(f"{k} long" for k in qm.KINDS)
-    table = df.mapInArrow(qm._count, f"cell long, {fields}, text string, good long, late long").groupBy("cell").agg(*[F.sum(k).alias(k) for k in qm.KINDS]).collect()
+    parts = df.mapInArrow(qm._count, "slice int, packed binary, text string, good long, late long")
+    table = {}
+    for r in parts.where("slice is not null").select("slice", "packed").repartition("slice").mapInArrow(qm._add, "slice int, packed binary").collect():
+        counts = np.frombuffer(r.packed, np.int64).reshape(len(qm.KINDS), -1)
+        table |= {r.slice * qm.SLICE_CELLS + int(c): counts[:, c].tolist() for c in np.flatnonzero(counts.any(0))}
     expected = {}
     for text, good, late in texts:
-        for key in qm.features(*buffer([text or ""])):
-            expected.setdefault(int(key), [0] * 4)[good + 2 * late] += 1
-    assert {r.cell: [r[k] for k in qm.KINDS] for r in table} == expected
+        for cell in cells_of([text or ""])[0]:
+            expected.setdefault(cell, [0] * 4)[good + 2 * late] += 1
+    assert table == expected
 
 
 def auc(score, y):
