@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("revenue_features", "revenue_profile", "revenue_diagnostics", "revenue_models", "labels", "retrieval", "graph")
+MODULES = ("revenue_features", "revenue_profile", "revenue_diagnostics", "revenue_models", "labels", "retrieval", "graph", "files")
 
 
 def _catalogues():

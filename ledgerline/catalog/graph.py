@@ -1,8 +1,8 @@
 """Graph reports on the supplier graph.
 
 Nodes are suppliers. Two neighbouring lines of an order make an edge from the first line's
-supplier to the second's; its action names brand, type and priority. A keyword picks the
-subgraph on which the path and spectral measures run, as in the original workload.
+supplier to the second's; its action names brand, type and priority. Measures run on the whole
+graph; a keyword picks the subgraph of ``w4_size`` and of the exact search in ``w4_closeness``.
 """
 
 from __future__ import annotations
@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.catalog.common import Catalogue, r
-from ledgerline.operators import graph
+from ledgerline.operators import graph, reach
+from ledgerline.operators.louvain import louvain
 from ledgerline.operators.segments import previous_value
 from ledgerline.session import materialise
 from ledgerline.sources import roles
 
 catalogue = Catalogue()
 KEYWORD = "^Brand#12 (PROMO|SMALL) 1-URGENT$"
-PAGERANK_ROUNDS, EIGEN_ROUNDS, LABEL_ROUNDS, DEPTH = 20, 30, 10, 24
+PAGERANK_ROUNDS, EIGEN_ROUNDS, LABEL_ROUNDS, DEPTH = 20, 100, 10, 24
 
 LINE_ORDER = ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -71,6 +72,12 @@ def keyword_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return weighted, materialise(everyone, "nodes")
 
 
+def whole_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All edges collapsed and the full node table, both stored."""
+    weighted = materialise(graph.collapse(positioned(spark, sf_dir)), "weighted")
+    return weighted, materialise(graph.node_table(weighted, nodes(spark, sf_dir)), "nodes")
+
+
 @catalogue.add("w4_collapse", f"with {EDGES_SQL} select * from wall")
 def collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted simple digraph of all edges."""
@@ -119,28 +126,32 @@ def degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @catalogue.add(
     "w4_top_degree",
-    f"with {EDGES_SQL}{DEGREES_SQL.format(w='w')} select label, degree, indegree, outdegree from dg join nodes using (id) order by degree desc, id limit 10",
+    f"with {EDGES_SQL}{DEGREES_SQL.format(w='wall')} select label, degree, indegree, outdegree from dg join nodes using (id) order by degree desc, id limit 10",
 )
 def top_degree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nodes with most neighbours in the keyword subgraph."""
-    weighted, everyone = keyword_graph(spark, sf_dir)
+    """Nodes with most neighbours."""
+    weighted, everyone = whole_graph(spark, sf_dir)
     ranked = graph.degrees(weighted, everyone).join(everyone, "id")
     return graph.top_rows(ranked, "degree", ["id"], 10).select("label", "degree", "indegree", "outdegree")
 
 
-ADJACENT_SQL = f"""with recursive {EDGES_SQL},
- u as materialized (select src, dst, sum(weight)::bigint as weight from (select source as src, target as dst, weight from w
- union all select target, source, weight from w) where src <> dst group by 1, 2),
+def _adjacent_sql(w: str) -> str:
+    return f"""with recursive {EDGES_SQL},
+ u as materialized (select src, dst, sum(weight)::bigint as weight from (select source as src, target as dst, weight from {w}
+ union all select target, source, weight from {w}) where src <> dst group by 1, 2),
  reach as (select id, id as seen from nodes union select reach.id, u.dst from reach join u on u.src = reach.seen),
  comp as materialized (select id, min(seen) as component from reach group by 1),
  big as materialized (select id from comp where component = (select component from comp group by 1 order by count(*) desc, component limit 1)),
  a as materialized (select u.* from u join big on u.src = big.id)"""
 
 
+ADJACENT_SQL, SUBGRAPH_SQL = _adjacent_sql("wall"), _adjacent_sql("w")
+
+
 @catalogue.add("w4_components", ADJACENT_SQL + " select id, component from comp")
 def components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weakly connected component of every node."""
-    return graph.components(*keyword_graph(spark, sf_dir))
+    return graph.components(*whole_graph(spark, sf_dir))
 
 
 def _level_sql(depth: int) -> str:
@@ -160,19 +171,22 @@ CLOSE_SQL = """, cl as (select s as id, 1 as in_largest_component, (count(*) - 1
  sum(case when d > 0 then 1.0e0 / d end) / (count(*) - 1) as harmonic, max(d) as eccentricity from dist group by 1)"""
 
 
-@catalogue.add(
-    "w4_closeness",
-    ADJACENT_SQL
-    + _level_sql(DEPTH)
-    + CLOSE_SQL
-    + f""" select nodes.id, coalesce(in_largest_component, 0) as in_largest_component, {r('coalesce(closeness, 0)')} as closeness,
- {r('coalesce(harmonic, 0)')} as harmonic_closeness, coalesce(eccentricity, 0) as eccentricity from nodes left join cl using (id)""",
-)
+CLOSE_SELECT = f""" select nodes.id, coalesce(in_largest_component, 0) as in_largest_component, {r('coalesce(closeness, 0)')} as closeness,
+ {r('coalesce(harmonic, 0)')} as harmonic_closeness, coalesce(eccentricity, 0) as eccentricity from nodes left join cl using (id)"""
+
+
+@catalogue.add("w4_closeness", SUBGRAPH_SQL + _level_sql(DEPTH) + CLOSE_SQL + CLOSE_SELECT)
 def closeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closeness, harmonic closeness and eccentricity."""
+    """Closeness, harmonic closeness and eccentricity of the keyword subgraph, by exact search."""
     return graph.path_metrics(*keyword_graph(spark, sf_dir), betweenness=False)
 
 
+@catalogue.add("w4_closeness_all", ADJACENT_SQL + _level_sql(DEPTH) + CLOSE_SQL + CLOSE_SELECT)
+def closeness_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closeness, harmonic closeness and eccentricity of the whole graph, from sketches."""
+    return reach.sketched_distances(*whole_graph(spark, sf_dir))
+
+
 BETWEEN_SQL = """, bt as (select x.v as id, sum(x.k * y.k / z.k) / 2 as betweenness from dist x join dist y on x.v = y.s join dist z on z.s = x.s and z.v = y.v
  where x.d + y.d = z.d and x.d > 0 and y.d > 0 group by 1)"""
 
@@ -185,8 +199,8 @@ BETWEEN_SQL = """, bt as (select x.v as id, sum(x.k * y.k / z.k) / 2 as betweenn
     + f" select nodes.id, {r('coalesce(betweenness, 0)')} as betweenness from nodes left join bt using (id)",
 )
 def betweenness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Betweenness, each pair counted once."""
-    return graph.path_metrics(*keyword_graph(spark, sf_dir)).select("id", "betweenness")
+    """Betweenness, each pair counted once, from sampled sources (all of them where there are few)."""
+    return reach.sampled_betweenness(*whole_graph(spark, sf_dir)).select("id", "betweenness")
 
 
 def _pagerank_sql(rounds: int) -> str:
@@ -210,7 +224,7 @@ def _pagerank_sql(rounds: int) -> str:
 )
 def pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PageRank after a fixed number of rounds."""
-    return graph.pagerank(*keyword_graph(spark, sf_dir), rounds=PAGERANK_ROUNDS)
+    return graph.pagerank(*whole_graph(spark, sf_dir), rounds=PAGERANK_ROUNDS)
 
 
 def _eigen_sql(rounds: int) -> str:
@@ -236,7 +250,7 @@ EIGEN = f"select id, value / (select max(value) from v{EIGEN_ROUNDS}) as value f
 )
 def eigen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eigenvector centrality after a fixed number of rounds."""
-    return graph.eigenvector(*keyword_graph(spark, sf_dir), rounds=EIGEN_ROUNDS)
+    return graph.eigenvector(*whole_graph(spark, sf_dir), rounds=EIGEN_ROUNDS)
 
 
 def _label_sql(rounds: int) -> str:
@@ -259,7 +273,14 @@ def _label_sql(rounds: int) -> str:
 )
 def communities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Community label of every node."""
-    return graph.communities(*keyword_graph(spark, sf_dir), rounds=LABEL_ROUNDS)
+    return graph.communities(*whole_graph(spark, sf_dir), rounds=LABEL_ROUNDS)
+
+
+@catalogue.add("w4_louvain")
+def louvain_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Communities by modularity, with their size and share of the modularity."""
+    weighted, everyone = whole_graph(spark, sf_dir)
+    return louvain(weighted, everyone)
 
 
 @catalogue.add(
@@ -270,7 +291,7 @@ def communities(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def community_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Largest communities."""
-    return graph.top_values(graph.communities(*keyword_graph(spark, sf_dir), rounds=LABEL_ROUNDS), "community", 10)
+    return graph.top_values(graph.communities(*whole_graph(spark, sf_dir), rounds=LABEL_ROUNDS), "community", 10)
 
 
 @catalogue.add(
@@ -283,14 +304,14 @@ def community_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def modularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of the communities."""
-    weighted, everyone = keyword_graph(spark, sf_dir)
+    weighted, everyone = whole_graph(spark, sf_dir)
     return graph.modularity(weighted, graph.communities(weighted, everyone, LABEL_ROUNDS))
 
 
 @catalogue.add(
     "w4_top_central",
     ADJACENT_SQL
-    + DEGREES_SQL.format(w="w")
+    + DEGREES_SQL.format(w="wall")
     + _level_sql(DEPTH)
     + CLOSE_SQL
     + BETWEEN_SQL
@@ -303,12 +324,13 @@ def modularity(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def top_central(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Combined centralities of the best-connected nodes."""
-    weighted, everyone = keyword_graph(spark, sf_dir)
-    paths = graph.path_metrics(weighted, everyone)
+    weighted, everyone = whole_graph(spark, sf_dir)
+    paths = reach.sketched_distances(weighted, everyone)
+    through = reach.sampled_betweenness(weighted, everyone).select("id", "betweenness")
     eigen_values = graph.eigenvector(weighted, everyone, EIGEN_ROUNDS)
     groups = graph.communities(weighted, everyone, LABEL_ROUNDS)
     table = graph.degrees(weighted, everyone)
-    for part in (everyone, paths, eigen_values, groups):
+    for part in (everyone, paths, through, eigen_values, groups):
         table = table.join(part, "id")
     return graph.top_rows(table, "degree", ["id"], 20).select(
         F.col("label").alias("Node"),

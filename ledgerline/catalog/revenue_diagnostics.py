@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.catalog.common import Catalogue, r, rounded
-from ledgerline.catalog.revenue_features import MATRIX_SQL, TIER_SQL, customer_features
+from ledgerline.catalog.revenue_features import MATRIX_NAMES, MATRIX_SQL, customer_features
 from ledgerline.catalog.revenue_profile import TARGET
 from ledgerline.operators import diagnostics as dx
 from ledgerline.operators import prep
@@ -331,33 +331,28 @@ def split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dx.describe_target(materialise(rows, "split"), "split", TARGET)
 
 
-# A few columns of each kind: counts, money, ratios, columns with missing values.
-_SCALED = ("n_items", "total_revenue", "recency_days", "std_item_revenue", "mean_order_revenue", "tenure_days")
-_TIER1 = TIER_SQL[1]
-_IMPUTED = f"""with m as materialized (select ids.cust_id, t1.* exclude (cust_id) from
- (with {BOTH} select cust_id from train union select cust_id from test union select cust_id from tx) ids left join ({_TIER1}) t1 on t1.cust_id = ids.cust_id),
- {roles.CUSTOMER_ORACLE}, ty as (select cust_id, {TARGET} as y from train), {split_sql('ty', 'sp')},
- fit as (select {', '.join(f'coalesce(quantile_cont({c}, 0.5), 0) as med_{c}' for c in _SCALED)} from m join sp using (cust_id) where split = 'train'),
- im as (select cust_id, split, {', '.join(f'coalesce({c}, med_{c})::double as {c}' for c in _SCALED)} from m join sp using (cust_id), fit),
- sc as (select {', '.join(f'avg({c}) as a_{c}, stddev_pop({c}) as s_{c}' for c in _SCALED)} from im where split = 'train')"""
+#: All columns of the cleaned matrix, imputed with medians and scaled; both fits use the training split only.
+COLUMNS = tuple(MATRIX_NAMES)
+IMPUTED_SQL = f"""with recursive m as materialized ({MATRIX_SQL}), {roles.CUSTOMER_ORACLE}, ty as (select cust_id, {TARGET} as y from train), {split_sql('ty', 'sp')},
+ fit as (select {', '.join(f'coalesce(quantile_cont({c}, 0.5), 0) as med_{c}' for c in COLUMNS)} from m join sp using (cust_id) where split = 'train'),
+ im as materialized (select cust_id, split, y, {', '.join(f'coalesce({c}, med_{c})::double as {c}' for c in COLUMNS)} from m join sp using (cust_id), fit),
+ sc as (select {', '.join(f'avg({c}) as a_{c}, stddev_pop({c}) as s_{c}' for c in COLUMNS)} from im where split = 'train')"""
 
 
-@catalogue.add(
-    "w1_impute_scale",
-    _IMPUTED
-    + " select cust_id, split, "
-    + ", ".join(f"{r(f'({c} - a_{c}) / case when s_{c} = 0 then 1 else s_{c} end')} as {c}" for c in _SCALED)
-    + " from im, sc",
-)
+def scaled_sql(column: str) -> str:
+    return f"({column} - a_{column}) / case when s_{column} = 0 then 1 else s_{column} end"
+
+
+@catalogue.add("w1_impute_scale", IMPUTED_SQL + " select cust_id, split, " + ", ".join(f"{r(scaled_sql(c))} as {c}" for c in COLUMNS) + " from im, sc")
 def impute_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Median-imputed, standardised features; both fits use the training split only."""
-    rows = train_matrix(spark, sf_dir, (1,))
+    rows = train_matrix(spark, sf_dir)
     rows = materialise(prep.stratified_split(rows, "cust_id", TARGET, MP.validation_share, MP.seed), "split")
     fit_on = rows.filter(F.col("split") == "train")
-    medians = prep.fit_medians(fit_on, _SCALED)
-    filled = prep.impute(rows, medians)
-    scaling = prep.fit_scaling(filled.filter(F.col("split") == "train"), _SCALED)
-    return prep.scale(filled, scaling).select("cust_id", "split", *_SCALED)
+    medians = prep.fit_medians(fit_on, COLUMNS)
+    filled = materialise(prep.impute(rows, medians), "filled")
+    scaling = prep.fit_scaling(filled.filter(F.col("split") == "train"), COLUMNS)
+    return prep.scale(filled, scaling).select("cust_id", "split", *COLUMNS)
 
 
 @catalogue.add(

@@ -257,7 +257,7 @@ def matrix_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer_features(spark, sf_dir, store=True).matrix()
 
 
-_MATRIX_NAMES = [
+MATRIX_NAMES = [
     n
     for t, names in TIER_COLUMNS.items()
     for n in names.split()
@@ -268,10 +268,10 @@ _MATRIX_NAMES = [
 @catalogue.add(
     "w1_matrix_quality",
     f"with m as materialized ({MATRIX_SQL}), {roles.CUSTOMER_ORACLE}, miss as ("
-    + " union all ".join(f"select '{n}' as name, avg(({n} is null)::int) * 100 as value from m" for n in _MATRIX_NAMES)
+    + " union all ".join(f"select '{n}' as name, avg(({n} is null)::int) * 100 as value from m" for n in MATRIX_NAMES)
     + f"""), top as (select name, value from miss order by value desc, name limit 10)
  select 'shape' as section, 'rows' as name, cast(count(*) as double) as value from m
- union all select 'shape', 'columns', {float(len(_MATRIX_NAMES))}
+ union all select 'shape', 'columns', {float(len(MATRIX_NAMES))}
  union all select 'coverage', 'train_in_matrix', cast(count(*) as double) from train where cust_id in (select cust_id from m)
  union all select 'coverage', 'n_train', cast(count(*) as double) from train
  union all select 'coverage', 'test_in_matrix', cast(count(*) as double) from test where cust_id in (select cust_id from m)

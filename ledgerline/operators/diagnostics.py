@@ -40,8 +40,8 @@ def ranked_pairs(df: DataFrame, by: Sequence[str]) -> DataFrame:
     def ranks(column: str, out: str) -> DataFrame:
         return value_ranks(df, by, column).withColumnRenamed("avg_rank", out)
 
-    pairs = salted_lookup(pairs, ranks("y_true", "rank_true"), [*by, "y_true"], "n_ties", ["rank_true"])
-    return salted_lookup(pairs, ranks("y_pred", "rank_pred"), [*by, "y_pred"], "n_ties", ["rank_pred"])
+    pairs = salted_lookup(pairs, ranks("y_true", "rank_true"), [*by, "y_true"], ["rank_true"])
+    return salted_lookup(pairs, ranks("y_pred", "rank_pred"), [*by, "y_pred"], ["rank_pred"])
 
 
 def evaluate(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.segments import row_numbers
-from ledgerline.session import materialise
+from ledgerline.session import materialise, materialise_by
 
 SOURCES_PER_BATCH = 20_000
 ROUNDS_PER_WRITE = 10
@@ -263,8 +263,9 @@ def pagerank(
     inside, links = _component_links(weighted, nodes)
     n = inside.count()
     out = links.groupBy("src").agg(F.sum("weight").alias("out"))
-    steps = materialise(
-        links.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share")), "steps"
+    # The links stay where they are; a round moves only ranks and what they pass on.
+    steps = materialise_by(
+        links.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share")), "src", "steps"
     )
     rank = inside.withColumn("rank", F.lit(1.0 / max(n, 1)))
     for i in range(1, rounds + 1):
@@ -285,7 +286,7 @@ def eigenvector(weighted: DataFrame, nodes: DataFrame, rounds: int = 100) -> Dat
     """
     inside, links = _component_links(weighted, nodes)
     steps = links.select("src", "dst").unionByName(inside.select(F.col("id").alias("src"), F.col("id").alias("dst")))
-    steps = materialise(steps, "steps")
+    steps = materialise_by(steps, "src", "steps")
     value = inside.withColumn("value", F.lit(1.0))
     for i in range(1, rounds + 1):
         value = steps.join(value, steps["src"] == value["id"]).groupBy(F.col("dst").alias("id")).agg(

@@ -96,6 +96,6 @@ def value_ranks(
 def with_average_rank(
     df: DataFrame, value: str, out: str, group_rows: int = GROUP_ROWS, segment_rows: int = SEGMENT_ROWS
 ) -> DataFrame:
-    """``df`` with the average rank of ``value``; heavily tied values are salted in the join."""
+    """``df`` with the average rank of ``value``; heavily tied values are spread in the join."""
     ranks = value_ranks(df, [], value, group_rows, segment_rows).withColumnRenamed("avg_rank", out)
-    return salted_lookup(df, ranks, value, "n_ties", [out])
+    return salted_lookup(df, ranks, value, [out])

@@ -153,16 +153,20 @@ class ModelParams:
     forest_trees: int = 200
     forest_leaf: int = 20
     forest_depth: int = 12
-    boost_rounds: int = 150
+    boost_rounds: int = 1000
     boost_rate: float = 0.05
     boost_depth: int = 6
     boost_leaf: int = 50
+    boost_patience: int = 50
     boost_subsample: float = 0.85
     boost_columns: float = 0.85
-    deep_rounds: int = 200
+    deep_rounds: int = 2000
     deep_rate: float = 0.03
     deep_depth: int = 7
     deep_leaf: int = 30
+    deep_patience: int = 100
+    fold_rounds: int = 1500
+    final_rounds: int = 150
     tweedie_powers: tuple[float, ...] = (1.5, 1.7, 1.8)
     zero_grid: tuple[float, ...] = (0, 0.5, 1, 2, 3, 5, 7, 10, 15, 20, 25, 30)
     folds: int = 5

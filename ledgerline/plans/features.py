@@ -255,14 +255,12 @@ class CustomerFeatures:
             rows,
             products.select("prod_id", F.col("popularity").alias("product_popularity")),
             "prod_id",
-            "product_popularity",
             ["product_popularity"],
         )
         both = salted_lookup(
             both,
             brands.select("prod_brand", F.col("popularity").alias("brand_popularity")),
             "prod_brand",
-            "brand_popularity",
             ["brand_popularity"],
         )
         brand = F.coalesce("brand_popularity", F.lit(0))

@@ -1,27 +1,20 @@
-"""Model comparison of the customer workload as Spark ML jobs.
+"""Model comparison of the customer workload as Spark jobs.
 
-Boosting differs from the library the numbers were first made with: Spark has no Tweedie
-or pseudo-Huber objective for boosted trees, so those two are linear models here, leaf
-limits count rows instead of curvature, trees need imputed values, and a fit stops at the
-first round that does not lower the error of the validation rows, without patience.
+Linear models, trees and forests see imputed columns; boosted trees (``plans/boosting.py``) see missing
+values as such. Boosted fits judge the validation rows after every round and keep the best prefix
+once their patience is over.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.ml.classification import GBTClassifier
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    GeneralizedLinearRegression,
-    LinearRegression,
-    RandomForestRegressor,
-)
-from pyspark.errors import IllegalArgumentException
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +23,7 @@ from ledgerline.operators import diagnostics as dx
 from ledgerline.operators import prep
 from ledgerline.operators.neighbours import inverse_distance_mean, nearest
 from ledgerline.params import ModelParams
+from ledgerline.plans.boosting import Booster, BoostedTrees, UnknownLoss, loss_named
 from ledgerline.session import materialise
 
 log = logging.getLogger(__name__)
@@ -53,6 +47,8 @@ class ModelData:
                 else rows.withColumn("split", F.lit("train"))
             )
         rows = materialise(rows.select(ID, Y, "split", *self.columns), "model_rows")
+        #: Rows as they are, nulls included, for boosted trees.
+        self.raw = rows.select(ID, Y, "split", F.array(*[F.col(f"`{c}`").cast("double") for c in self.columns]).alias("features"))
         self.medians = prep.fit_medians(rows.filter(F.col("split") == "train"), self.columns)
         filled = prep.impute(rows, self.medians)
         self.scaling = prep.fit_scaling(filled.filter(F.col("split") == "train"), self.columns)
@@ -69,11 +65,6 @@ class ModelData:
         shifted = F.zip_with(raw, means, lambda x, m: x - m)
         return self.imputed.withColumn("vec", F.zip_with(shifted, sizes, lambda x, s: x / s))
 
-    def scaled_vectors(self) -> DataFrame:
-        from pyspark.ml.functions import array_to_vector
-
-        return self.scaled().withColumn("features", array_to_vector("vec")).drop("vec")
-
 
 def part(rows: DataFrame, split: str) -> DataFrame:
     return rows.filter(F.col("split") == split)
@@ -82,11 +73,12 @@ def part(rows: DataFrame, split: str) -> DataFrame:
 def predictions(model, rows: DataFrame, back: Callable[[Column], Column] | None = None) -> DataFrame:
     """Id, truth and prediction, taken back to revenue where the fit used another scale."""
     value = F.col("prediction")
-    return model.transform(rows).select(ID, Y, (back(value) if back else value).alias("y_pred"))
+    scored = model.predict(rows, [ID, Y], "prediction") if isinstance(model, BoostedTrees) else model.transform(rows)
+    return scored.select(ID, Y, (back(value) if back else value).alias("y_pred"))
 
 
-def probabilities(model, rows: DataFrame, name: str) -> DataFrame:
-    return model.transform(rows).select(ID, vector_to_array("probability")[1].alias(name))
+def probabilities(model: BoostedTrees, rows: DataFrame, name: str) -> DataFrame:
+    return model.predict(rows, [ID], name)
 
 
 # -- A: no features --------------------------------------------------------------------
@@ -119,32 +111,58 @@ def baseline_results(rows: DataFrame, target: str) -> DataFrame:
 # -- B: basic methods -------------------------------------------------------------------
 
 
-def fit_ridge(rows: DataFrame, target: Column, alpha: float):
-    """Ridge with penalty ``alpha`` on the sum of squares, in Spark's parametrisation.
+def products(rows: DataFrame, width: int) -> DataFrame:
+    """(i, j, value), i <= j: sums of products of (1, vec, target) over ``rows`` (vec, t).
+
+    A task multiplies whole blocks of rows and passes on one number per pair of columns.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width + 2, width + 2))
+        for batch in batches:
+            n = batch.num_rows
+            x = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(n, width)
+            block = np.column_stack([np.ones(n), x, batch.column("t").to_numpy()])
+            total += block.T @ block
+        i, j = np.triu_indices(width + 2)
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(total[i, j])], names=["i", "j", "value"])
+
+    parts = rows.select("vec", F.col("t").cast("double").alias("t")).mapInArrow(run, "i int, j int, value double")
+    return parts.groupBy("i", "j").agg(F.sum("value").alias("value"))
+
+
+def fit_ridge(rows: DataFrame, target: Column, alpha: float) -> tuple[np.ndarray, float]:
+    """Weights and intercept with penalty ``alpha`` on the sum of squares, by the normal equations.
 
-    Spark divides the loss by the row count and scales the target by its deviation. The
-    normal equations need one pass over the rows and a matrix as wide as the features.
+    One pass over ``rows`` (vec), then a system as wide as the features, solved on the driver.
     """
-    rows = rows.withColumn("_t", target)
-    n, deviation = rows.agg(F.count(F.lit(1)), F.stddev_pop("_t")).first()
-    return LinearRegression(
-        labelCol="_t",
-        solver="normal",
-        elasticNetParam=0.0,
-        standardization=False,
-        regParam=alpha * (deviation or 1.0) / n,
-    ).fit(rows)
+    width = rows.select(F.max(F.size("vec"))).first()[0] or 0
+    g = np.zeros((width + 2, width + 2))
+    for r in products(rows.withColumn("t", target), width).collect():
+        g[r["i"], r["j"]] = g[r["j"], r["i"]] = r["value"]
+    n = max(g[0, 0], 1.0)
+    mean = g[0] / n
+    x = slice(1, width + 1)
+    centred = g - np.outer(g[0], mean)
+    weights = np.linalg.solve(centred[x, x] + alpha * np.eye(width), centred[x, -1])
+    return weights, float(mean[-1] - mean[x] @ weights)
+
+
+def linear(rows: DataFrame, model: tuple[np.ndarray, float], back: Callable[[Column], Column] | None = None) -> DataFrame:
+    weights, shift = model
+    terms = F.zip_with("vec", F.array(*[F.lit(float(w)) for w in weights]), lambda x, w: x * w)
+    value = F.aggregate(terms, F.lit(shift), lambda a, b: a + b)
+    return rows.select(ID, Y, (back(value) if back else value).alias("y_pred"))
 
 
 def ridge(data: ModelData) -> DataFrame:
-    rows = materialise(data.scaled_vectors(), "scaled")
-    return predictions(fit_ridge(part(rows, "train"), F.col(Y), data.p.ridge_alpha), part(rows, "val"))
+    rows = materialise(data.scaled(), "scaled")
+    return linear(part(rows, "val"), fit_ridge(part(rows, "train"), F.col(Y), data.p.ridge_alpha))
 
 
 def ridge_log(data: ModelData) -> DataFrame:
-    rows = materialise(data.scaled_vectors(), "scaled")
-    model = fit_ridge(part(rows, "train"), F.log1p(Y), data.p.ridge_alpha)
-    return predictions(model, part(rows, "val"), F.expm1)
+    rows = materialise(data.scaled(), "scaled")
+    return linear(part(rows, "val"), fit_ridge(part(rows, "train"), F.log1p(Y), data.p.ridge_alpha), F.expm1)
 
 
 def decision_tree(data: ModelData) -> DataFrame:
@@ -182,83 +200,57 @@ def knn(data: ModelData) -> DataFrame:
 # -- C, D: boosted trees and long-tail variants -------------------------------------------
 
 
-def fit_boosted(data: ModelData, rows: DataFrame, target: Column, loss: str, deep: bool = False, stop_early: bool = True):
-    """Boosted trees; the validation rows stop the rounds. Falls back to squared error."""
-    p = data.p
-    rounds, rate, depth, leaf = (
-        (p.deep_rounds, p.deep_rate, p.deep_depth, p.deep_leaf)
-        if deep
-        else (p.boost_rounds, p.boost_rate, p.boost_depth, p.boost_leaf)
+def _booster(p: ModelParams, loss, deep: bool = False, rounds: int | None = None, stop_early: bool = True) -> Booster:
+    size = (p.deep_rounds, p.deep_rate, p.deep_depth, p.deep_leaf, p.deep_patience) if deep else (p.boost_rounds, p.boost_rate, p.boost_depth, p.boost_leaf, p.boost_patience)
+    return Booster(
+        loss,
+        rounds=rounds or size[0],
+        rate=size[1],
+        depth=size[2],
+        least_weight=size[3],
+        subsample=p.boost_subsample,
+        columns=p.boost_columns,
+        patience=size[4] if stop_early else None,
+        seed=p.seed,
     )
-    rows = rows.withColumn("_t", target).withColumn("_val", F.col("split") == "val")
-
-    def build(loss_type: str) -> GBTRegressor:
-        booster = GBTRegressor(
-            labelCol="_t",
-            lossType=loss_type,
-            maxIter=rounds,
-            stepSize=rate,
-            maxDepth=depth,
-            minInstancesPerNode=leaf,
-            subsamplingRate=p.boost_subsample,
-            featureSubsetStrategy=str(p.boost_columns),
-            validationTol=0.0,
-            seed=p.seed,
-        )
-        return booster.setValidationIndicatorCol("_val") if stop_early else booster
 
-    source = rows if stop_early else part(rows, "train")
+
+def fit_boosted(data: ModelData, rows: DataFrame, target: Column, loss: str, deep: bool = False, stop_early: bool = True, rounds: int | None = None, power: float = 1.5) -> BoostedTrees:
+    """Boosted trees; the validation rows choose the number of rounds. An unknown loss falls back to squared error."""
     try:
-        return build(loss).fit(source)
-    except IllegalArgumentException as error:  # a loss Spark does not offer; other failures are raised
-        log.warning("loss %s failed (%s); fitting squared error", loss, error)
-        return build("squared").fit(source)
-
-
-def fit_classifier(data: ModelData, rows: DataFrame, label: Column):
-    p = data.p
-    rows = rows.withColumn("_t", as_flag(label)).withColumn("_val", F.col("split") == "val")
-    return GBTClassifier(
-        labelCol="_t",
-        maxIter=p.boost_rounds,
-        stepSize=p.boost_rate,
-        maxDepth=p.boost_depth,
-        minInstancesPerNode=p.boost_leaf,
-        subsamplingRate=p.boost_subsample,
-        featureSubsetStrategy=str(p.boost_columns),
-        validationIndicatorCol="_val",
-        validationTol=0.0,
-        seed=p.seed,
-    ).fit(rows)
+        wanted = loss_named(loss, power)
+    except UnknownLoss as error:
+        log.warning("%s; fitting squared error", error)
+        wanted = loss_named("squared")
+    source = (rows if stop_early else part(rows, "train")).select(F.col(ID).alias("id"), target.alias("y"), (F.col("split") == "val").alias("val"), "features")
+    return _booster(data.p, wanted, deep, rounds, stop_early).fit(source)
+
+
+def fit_classifier(data: ModelData, rows: DataFrame, label: Column) -> BoostedTrees:
+    return fit_boosted(data, rows, as_flag(label), "logistic")
 
 
-def boosted_absolute(data: ModelData, deep: bool = False) -> DataFrame:
-    return predictions(fit_boosted(data, data.imputed, F.col(Y), "absolute", deep), part(data.imputed, "val"))
+def boosted_absolute(data: ModelData, deep: bool = False, rounds: int | None = None) -> DataFrame:
+    return predictions(fit_boosted(data, data.raw, F.col(Y), "absolute", deep, rounds=rounds), part(data.raw, "val"))
 
 
 def boosted_squared(data: ModelData) -> DataFrame:
-    return predictions(fit_boosted(data, data.imputed, F.col(Y), "squared", True), part(data.imputed, "val"))
+    return predictions(fit_boosted(data, data.raw, F.col(Y), "squared", True), part(data.raw, "val"))
 
 
 def boosted_log(data: ModelData) -> DataFrame:
-    model = fit_boosted(data, data.imputed, F.log1p(Y), "squared", True)
-    return predictions(model, part(data.imputed, "val"), F.expm1)
+    model = fit_boosted(data, data.raw, F.log1p(Y), "squared", True)
+    return predictions(model, part(data.raw, "val"), F.expm1)
 
 
 def huber(data: ModelData) -> DataFrame:
-    """Robust loss as a linear model."""
-    rows = materialise(data.scaled_vectors(), "scaled")
-    model = LinearRegression(labelCol=Y, loss="huber", epsilon=1.35, regParam=0.01, maxIter=100).fit(part(rows, "train"))
-    return predictions(model, part(rows, "val"))
+    """Pseudo-Huber loss, robust against few large targets."""
+    return predictions(fit_boosted(data, data.raw, F.col(Y), "pseudo_huber", True), part(data.raw, "val"))
 
 
-def tweedie(data: ModelData, power: float) -> DataFrame:
-    """Tweedie family with a log link as a generalised linear model."""
-    rows = materialise(data.scaled_vectors(), "scaled")
-    model = GeneralizedLinearRegression(
-        labelCol=Y, family="tweedie", variancePower=power, linkPower=0.0, regParam=0.1, maxIter=25
-    ).fit(part(rows, "train"))
-    return predictions(model, part(rows, "val"))
+def tweedie(data: ModelData, power: float, deep: bool = False) -> DataFrame:
+    """Tweedie deviance with a log link."""
+    return predictions(fit_boosted(data, data.raw, F.col(Y), "tweedie", deep, power=power), part(data.raw, "val"))
 
 
 # -- hurdles -------------------------------------------------------------------------------
@@ -273,7 +265,7 @@ def _joined(val: DataFrame, *tables: DataFrame) -> DataFrame:
 
 def hurdle(data: ModelData, deep: bool = False) -> DataFrame:
     """P(return) times the revenue expected from those who return."""
-    rows, val = data.imputed, part(data.imputed, "val")
+    rows, val = data.raw, part(data.raw, "val")
     classifier = fit_classifier(data, rows, F.col(Y) > 0)
     regressor = fit_boosted(data, rows.filter(F.col(Y) > 0), F.log1p(Y), "absolute", deep)
     given = predictions(regressor, val, F.expm1).select(ID, at_least(F.col("y_pred"), 0.0).alias("if_returner"))
@@ -283,7 +275,7 @@ def hurdle(data: ModelData, deep: bool = False) -> DataFrame:
 
 def mae_hurdle_parts(data: ModelData) -> DataFrame:
     """Return probability and revenue if returning, per validation customer."""
-    rows, val = data.imputed, part(data.imputed, "val")
+    rows, val = data.raw, part(data.raw, "val")
     classifier = fit_classifier(data, rows, F.col(Y) > 0)
     regressor = fit_boosted(data, rows.filter(F.col(Y) > 0), F.col(Y), "absolute", True)
     given = predictions(regressor, val).select(ID, at_least(F.col("y_pred"), 0.0).alias("if_returner"))
@@ -302,7 +294,7 @@ def mae_hurdle_table(parts: DataFrame, thresholds: Sequence[float]) -> DataFrame
 
 
 def multi_tier_parts(data: ModelData, high: float) -> DataFrame:
-    rows, val, y = data.imputed, part(data.imputed, "val"), F.col(Y)
+    rows, val, y = data.raw, part(data.raw, "val"), F.col(Y)
     returns = fit_classifier(data, rows, y > 0)
     is_high = fit_classifier(data, rows.filter(y > 0), y > high)
     low_model = fit_boosted(data, rows.filter((y > 0) & (y <= high)), y, "absolute")
@@ -325,7 +317,7 @@ def multi_tier_combine(parts: DataFrame, high: float) -> DataFrame:
 
 def high_value_auc(data: ModelData) -> DataFrame:
     """How well each high-value definition can be told apart; sparse ones are skipped."""
-    p, val = data.p, part(data.imputed, "val")
+    p, val = data.p, part(data.raw, "val")
     counts = data.imputed.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(as_flag(F.col(Y) > t)).alias(f"p{i}") for i, t in enumerate(p.high_value_thresholds)],
@@ -336,7 +328,7 @@ def high_value_auc(data: ModelData) -> DataFrame:
         n_train, n_val = sizes["train"][f"p{i}"], sizes["val"][f"p{i}"]
         if min(n_train, n_val) < p.min_positives:
             continue
-        model = fit_classifier(data, data.imputed, F.col(Y) > t)
+        model = fit_classifier(data, data.raw, F.col(Y) > t)
         scored = val.select(ID, Y).join(probabilities(model, val, "prob"), ID)
         table = dx.auc_table(scored, "prob", [t]).select("threshold", "auc")
         tables.append(
@@ -346,7 +338,7 @@ def high_value_auc(data: ModelData) -> DataFrame:
                     "positive_rate_val": F.lit(n_val / sizes["val"]["n"] * 100),
                     "n_positive_train": F.lit(n_train),
                     "n_positive_val": F.lit(n_val),
-                    "rounds": F.lit(model.getNumTrees),
+                    "rounds": F.lit(len(model.trees)),
                 }
             )
         )
@@ -370,7 +362,7 @@ def cross_validate(rows: DataFrame, columns: Sequence[str], target: str, params:
     for fold in range(params.folds):
         split = F.when(F.col("fold") == fold, "val").otherwise("train")
         data = ModelData(dealt.withColumn("split", split), columns, target, params=params)
-        scored = boosted_absolute(data).withColumn("fold", F.lit(fold + 1))
+        scored = boosted_absolute(data, rounds=params.fold_rounds).withColumn("fold", F.lit(fold + 1))
         stacked = scored if stacked is None else stacked.unionByName(scored)
     raw = dx.clipped(materialise(stacked, "fold_scores"))
     zeroed = raw.withColumn("y_pred", zero_below(F.col("y_pred"), params.champion_zero_below))
@@ -394,8 +386,8 @@ def final_predictions(train: DataFrame, test: DataFrame, columns: Sequence[str],
         test.withColumns({"split": F.lit("test"), target: F.lit(None).cast("double")})
     )
     data = ModelData(both, columns, target, params=params)
-    model = fit_boosted(data, data.imputed, F.col(Y), "absolute", stop_early=False)
-    scored = predictions(model, part(data.imputed, "test"))
+    model = fit_boosted(data, data.raw, F.col(Y), "absolute", stop_early=False, rounds=params.final_rounds)
+    scored = predictions(model, part(data.raw, "test"))
     value = zero_below(at_least(F.col("y_pred"), 0.0), params.champion_zero_below)
     return scored.select(ID, value.alias("prediction"))
 

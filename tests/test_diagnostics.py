@@ -15,8 +15,8 @@ def scored(spark, y, p, model="m"):
 
 
 def test_mae_clips_predictions(spark):
-    row = dx.evaluate(scored(spark, [0, 10, 20], [-5, 12, 18])).first()
-    assert row.MAE == pytest.approx(4 / 3)
+    row = dx.evaluate(scored(spark, [3, 0, 7, 30], [-2, -1, 8.5, 24])).first()
+    assert row.MAE == pytest.approx((3 + 0 + 1.5 + 6) / 4)
 
 
 def test_spearman_equals_pandas_and_is_null_for_constants(spark):
@@ -30,14 +30,14 @@ def test_spearman_equals_pandas_and_is_null_for_constants(spark):
 
 
 def test_prediction_distribution(spark):
-    row = dx.prediction_distribution(scored(spark, [0] * 4, [-1, 0, 4, 10]), [5, 20]).first()
-    assert (row["min"], row.pct_zero, row.pct_lt_5, row.pct_lt_20) == (0.0, 50.0, 75.0, 100.0)
+    row = dx.prediction_distribution(scored(spark, [0] * 5, [-7, 2.5, 3, 11, 60]), [3, 40]).first()
+    assert (row["min"], row.pct_zero, row.pct_lt_3, row.pct_lt_40) == (0.0, 20.0, 40.0, 80.0)
 
 
 def test_error_tail(spark):
-    row = dx.error_tail(scored(spark, [0, 100, 250, 500], [0, 80, 100, 200]), [200]).first()
-    assert (row.n_above, row.pct_above, row.error_sum) == (2, 50.0, 450.0)
-    assert row.mae_if_excluded == 10.0
+    row = dx.error_tail(scored(spark, [12, 0, 61, 90, 75], [10, 4, 60, 50, 100]), [60]).first()
+    assert (row.n_above, row.pct_above, row.error_sum) == (3, 60.0, 66.0)
+    assert row.mae_if_excluded == 3.0
 
 
 def test_error_split(spark):
@@ -47,12 +47,12 @@ def test_error_split(spark):
 
 
 def test_zero_sweep_marks_one_best_row(spark):
-    rows = scored(spark, [0, 0, 20], [0, 1, 20])
-    table = {r.threshold: r for r in dx.zero_sweep(rows, [0, 5]).collect()}
-    assert [t for t, r in table.items() if r.is_best] == [5.0]
-    assert table[5.0].extra_zeros == 1
-    best = dx.best_zero(rows, [0, 5]).first()
-    assert best.best_threshold == 5.0 and best.mae == 0.0
+    rows = scored(spark, [0, 9, 0, 0, 14], [2, 9, 3, 0, 13])
+    table = {r.threshold: r for r in dx.zero_sweep(rows, [0, 4, 10]).collect()}
+    assert [t for t, r in table.items() if r.is_best] == [4.0]
+    assert table[4.0].extra_zeros == 2
+    best = dx.best_zero(rows, [0, 4, 10]).first()
+    assert best.best_threshold == 4.0 and best.mae == pytest.approx(0.2)
 
 
 def test_zero_sweep_ranks_equal_a_new_ranking(spark):
@@ -73,7 +73,7 @@ def test_no_threshold_is_better(spark):
 
 
 def test_calibration_columns_and_empty_bins(spark):
-    table = dx.calibration(scored(spark, [0, 25, 75, 150], [0, 20, 50, 100]), [-1, 0, 50, 100, 200, 300])
+    table = dx.calibration(scored(spark, [0, 8, 10, 33], [1, 6, 12, 30]), [-5, 0, 9, 10, 40, 90])
     assert [c for c in table.columns if c not in ("bin_no", "lower", "upper")] == ["n", "actual_mean", "pred_mean", "pred_max"]
     assert [r.n for r in table.orderBy("bin_no").collect()] == [1, 1, 1, 1, 0]
 

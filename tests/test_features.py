@@ -17,7 +17,7 @@ def matrix(shop):
 def test_contract_of_the_matrix(matrix, shop):
     train, test, _ = shop
     rows = {r.cust_id: r for r in matrix.collect()}
-    assert set(rows) == set(range(1, 9))
+    assert set(rows) == {21, 22, 23, 24, 25, 31, 32}
     assert "dominant_type_1_women" in matrix.columns
     assert "dominant_type_1_unknown" not in matrix.columns
     assert not [f for f in matrix.schema.fields if f.dataType.simpleString() == "string"]
@@ -26,30 +26,38 @@ def test_contract_of_the_matrix(matrix, shop):
 
 
 def test_values_of_one_customer(matrix):
-    row = matrix.filter("cust_id = 2").first()
+    row = matrix.filter("cust_id = 22").first()
     assert row.n_items == 2 and row.n_orders == 2
-    assert row.total_revenue == pytest.approx(54 + 53)
-    assert row.median_item_revenue == pytest.approx(53.5)
-    assert row.total_discount_amt == 5.0 and row.n_discounted_items == 1
-    assert row.gross_revenue == pytest.approx(112.0)
-    assert row.mean_inter_purchase_days == 30.0 and row.std_inter_purchase_days is None
+    assert row.total_revenue == pytest.approx(100.0)
+    assert row.median_item_revenue == pytest.approx(50.0)
+    assert row.total_discount_amt == 4.0 and row.n_discounted_items == 1
+    assert row.gross_revenue == pytest.approx(104.0)
+    assert row.mean_inter_purchase_days == 40.0 and row.std_inter_purchase_days is None
     assert row.revenue_2016 == 0.0 and row.revenue_growth_ratio == 20.0
     assert row.buys_gabor == 0 and row.is_repeat_buyer == 1
     assert row.log_n_orders == pytest.approx(math.log(3))
     assert row.dominant_type_1_boys == 1 and row.buys_kids == 1
 
 
+def test_two_items_of_one_order(matrix):
+    row = matrix.filter("cust_id = 21").first()
+    assert (row.n_items, row.n_orders, row.n_items_per_order) == (3, 2, 1.5)
+    assert row.mean_order_revenue == pytest.approx((100.0 + 30.0) / 2)
+    assert row.revenue_2016 == 100.0 and row.revenue_growth_ratio == pytest.approx(0.3)
+    assert row.n_orders_in_holiday == 1 and row.n_unique_top_brands == row.buys_gabor + row.buys_nike
+
+
 def test_customers_without_history_stay(shop, spark):
     train, test, tx = shop
-    features = CustomerFeatures(tx.filter("cust_id <> 8"), train, test)
-    row = features.matrix().filter("cust_id = 8").first()
+    features = CustomerFeatures(tx.filter("cust_id <> 32"), train, test)
+    row = features.matrix().filter("cust_id = 32").first()
     assert row.n_items is None and row.buys_nike == 0 and row.n_unique_top_brands == 0
 
 
 def test_popularity_uses_training_customers_only(shop):
     train, test, tx = shop
     counts = {r.prod_brand: r.popularity for r in CustomerFeatures(tx, train, test).popularity_counts("prod_brand").collect()}
-    assert counts == {"Gabor": 4, "Nike": 4, "Other": 4}
+    assert counts == {"Gabor": 2, "Nike": 3, "Other": 4}
 
 
 def test_missing_required_columns_are_named(shop):
@@ -65,23 +73,23 @@ def test_optional_columns_get_defaults(shop):
 
 
 def test_nan_counts_as_missing(shop, spark):
-    tx = shop[2].withColumn("sale_revenue", F.when(F.col("sale_id") == 100, F.lit(float("nan"))).otherwise(F.col("sale_revenue")))
+    tx = shop[2].withColumn("sale_revenue", F.when(F.col("sale_id") == 5, F.lit(float("nan"))).otherwise(F.col("sale_revenue")))
     train, test, _ = shop
-    row = CustomerFeatures(tx, train, test).raw([1]).filter("cust_id = 1").first()
-    assert row.total_revenue == pytest.approx(51.0) and row.n_items == 2 and row.std_item_revenue is None
+    row = CustomerFeatures(tx, train, test).raw([1]).filter("cust_id = 22").first()
+    assert row.total_revenue == pytest.approx(46.0) and row.n_items == 2 and row.std_item_revenue is None
 
 
 def test_prepared_columns(shop):
-    row = prepare_transactions(shop[2]).filter("sale_id = 101").first()
-    assert (row.order_year, row.order_month, row.order_quarter) == (2017, "2017-02", "2017Q1")
-    assert row.collection_year == 2017 and row.prod_size == 38.0 and row.has_discount == 1 and row.is_returned == 0
+    row = prepare_transactions(shop[2]).filter("sale_id = 6").first()
+    assert (row.order_year, row.order_month, row.order_quarter) == (2017, "2017-03", "2017Q1")
+    assert row.collection_year == 2016 and row.prod_size == 30.0 and row.has_discount == 1 and row.is_returned == 0
 
 
 def test_quality_report(matrix, shop):
     train, test, _ = shop
     got = {(r.section, r.name): r.value for r in quality_report(matrix, train, test).collect()}
-    assert got["coverage", "train_in_matrix"] == 6 and got["coverage", "n_test"] == 2
-    assert got["shape", "rows"] == 8
+    assert got["coverage", "train_in_matrix"] == 5 and got["coverage", "n_test"] == 2
+    assert got["shape", "rows"] == 7
     assert max(v for (s, _), v in got.items() if s == "missing_pct") == 100.0
 
 

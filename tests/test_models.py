@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from ledgerline.operators import diagnostics as dx
 from ledgerline.params import ModelParams
 from ledgerline.plans import models as md
+from ledgerline.plans.boosting import Squared
 
 P = replace(
-    ModelParams(), boost_rounds=6, boost_depth=3, boost_rate=0.3, boost_leaf=5, deep_rounds=6, deep_depth=3, deep_rate=0.3,
-    deep_leaf=5, forest_trees=8, forest_leaf=5, tree_leaf=10, min_positives=10, folds=2, high_threshold=60.0,
+    ModelParams(), boost_rounds=12, boost_depth=3, boost_rate=0.3, boost_leaf=2, boost_patience=5, deep_rounds=12, deep_depth=3, deep_rate=0.3,
+    deep_leaf=2, deep_patience=5, fold_rounds=6, final_rounds=6, forest_trees=8, forest_leaf=5, tree_leaf=10, min_positives=10, folds=2, high_threshold=60.0,
     high_value_thresholds=(0, 60, 500),
 )
 COLUMNS = ["a", "b", "gap"]
@@ -103,16 +104,24 @@ def test_importances_name_the_signal(spark, data):
     assert top[0].feature == "a" and len(top) == 2
 
 
-def test_unfit_loss_falls_back(data, monkeypatch):
-    real = md.GBTRegressor
+def test_unfit_loss_falls_back(data, caplog):
+    """A loss that does not exist is fitted as squared error, and the log says so."""
+    with caplog.at_level("WARNING"):
+        model = md.fit_boosted(data, data.raw, F.col("y_true"), "quantile")
+    assert isinstance(model.loss, Squared) and "quantile" in caplog.text
+    known = md.fit_boosted(data, data.raw, F.col("y_true"), "squared")
+    assert [t.value for t in model.trees] == [pytest.approx(t.value) for t in known.trees]
 
-    def picky(**options):
-        if options["lossType"] == "absolute":
-            raise ValueError("no")
-        return real(**options)
 
-    monkeypatch.setattr(md, "GBTRegressor", picky)
-    assert md.boosted_absolute(data).count() > 0
+def test_boosted_losses_beat_linear_models(data):
+    """The boosted Tweedie and pseudo-Huber fits against a Tweedie regression and a robust linear model."""
+    from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
+
+    train, val = md.part(data.imputed, "train"), md.part(data.imputed, "val")
+    glm = GeneralizedLinearRegression(labelCol="y_true", family="tweedie", variancePower=1.5, linkPower=0.0, regParam=0.1, maxIter=25).fit(train)
+    robust = LinearRegression(labelCol="y_true", loss="huber", epsilon=1.35, regParam=0.01, maxIter=100).fit(train)
+    assert mae(md.tweedie(data, 1.5)) < mae(md.predictions(glm, val))
+    assert mae(md.huber(data)) < mae(md.predictions(robust, val))
 
 
 def test_comparison_is_sorted(data):

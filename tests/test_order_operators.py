@@ -79,18 +79,33 @@ def test_average_rank_shares_ties(spark, way):
 def test_salted_lookup_equals_plain_join(spark):
     draw = random.Random(5)
     left = spark.createDataFrame([(i, draw.choice(["hot"] * 8 + ["b", "c", None, "lost"])) for i in range(200)], "i int, k string")
-    counts = spark.createDataFrame([("hot", 500, 1), ("b", 1, 2), ("c", 1, 3)], "k string, n int, x int")
-    assert skew.heavy_keys(counts, ["k"], "n") == [("hot",)]
-    got = sorted(map(tuple, skew.salted_lookup(left, counts, "k", "n", ["x"]).select("i", "x").collect()))
-    want = sorted(map(tuple, left.join(counts, "k", "left").select("i", "x").collect()))
-    assert got == want
+    lookup = spark.createDataFrame([("hot", 1), ("b", 2), ("c", 3), (None, 4)], "k string, x int")
+    want = sorted(map(tuple, left.join(lookup, "k", "left").select("i", "x").collect()))
+    for limit in (1_000_000, 30):
+        got = skew.salted_lookup(left, lookup, "k", ["x"], rows_per_task=limit).select("i", "x").collect()
+        assert sorted(map(tuple, got)) == want
+    inner = skew.salted_lookup(left, lookup, "k", ["x"], "inner", rows_per_task=30)
+    assert inner.count() == left.join(lookup, "k").count()
+
+
+def test_a_key_with_half_of_the_rows_is_spread_by_its_size(spark):
+    """Heavy on the joined side, whatever the counts of the lookup say."""
+    left = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"))
+    heavy = skew.heavy_hitters(left, ["k"], 1000)
+    assert list(heavy.values()) == [10]
+    (key,) = heavy
+    assert key == spark.range(1).select(F.xxhash64(F.lit(-1).cast("long"))).first()[0]
+    lookup = spark.createDataFrame([(-1, 7), (3, 8)], "k long, n int")
+    plan = skew.salted_lookup(left, lookup, "k", ["n"], rows_per_task=1000)
+    assert {r.n: r["count"] for r in plan.groupBy("n").count().collect()} == {7: 10_000, 8: 1, None: 9_999}
 
 
 def test_salted_lookup_on_two_keys(spark):
     left = spark.createDataFrame([(i, "m", 0.0 if i < 90 else 1.0) for i in range(100)], "i int, a string, b double")
-    counts = spark.createDataFrame([("m", 0.0, 90, 7), ("m", 1.0, 10, 8)], "a string, b double, n int, x int")
-    got = skew.salted_lookup(left, counts, ["a", "b"], "n", ["x"]).groupBy("x").count().collect()
+    lookup = spark.createDataFrame([("m", 0.0, 7), ("m", 1.0, 8)], "a string, b double, x int")
+    got = skew.salted_lookup(left, lookup, ["a", "b"], ["x"], rows_per_task=20).groupBy("x").count().collect()
     assert {r["x"]: r["count"] for r in got} == {7: 90, 8: 10}
+    assert skew.heavy_hitters(left.limit(0), ["a", "b"], 20) == {}
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
