@@ -10,6 +10,7 @@ from ledgerline.catalog.common import Catalogue, r
 from ledgerline.functions.text import json_names, strip_reasoning
 from ledgerline.operators import documents as docs
 from ledgerline.operators import retrieval as rt
+from ledgerline.operators.inverted_file import approximate_nearest
 from ledgerline.params import RetrievalParams
 from ledgerline.session import materialise
 from ledgerline.sources import files, roles
@@ -184,6 +185,16 @@ def topk_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found(spark, sf_dir)
 
 
+@catalogue.add("w3_topk_approximate")
+def topk_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest items per query from inverted lists of quantised vectors, best candidates scored exactly."""
+    rows = roles.table(spark, sf_dir, "embeddings")
+    queries = rows.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vec"))
+    vectors = rows.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vec"))
+    near = approximate_nearest(queries, vectors, P.candidates, exclude_same=True)
+    return near.select("query_id", "item_id", F.col("rank").alias("retrieval_rank"), rt.similarity(F.col("value")).alias("similarity"))
+
+
 RANKED_SQL = f"""{ITEMS_SQL}, {_PARSED}, {META_SQL}, {FOUND_SQL},
  ranked as materialized (select * from (select *, row_number() over (partition by query_id order by score desc, retrieval_rank) as position from
  (select *, cast(printf('%.4f', similarity * {P.similarity_weight}::double + case when positive + negative > 0 then positive / (positive + negative) else {P.neutral_approval}::double end * {P.approval_weight}::double) as double) as score

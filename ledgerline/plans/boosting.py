@@ -27,6 +27,9 @@ from ledgerline.session import materialise
 CHECKPOINT_ROUNDS = 25
 MISSING = 0
 EDGE_ACCURACY = 10_000
+#: Rows that one task adds up in a level, and bytes of sums that one task brings together.
+TASK_ROWS = 200_000
+TASK_BYTES = 32 << 20
 
 
 # -- losses --------------------------------------------------------------------------------
@@ -173,23 +176,24 @@ def best_splits(sums: np.ndarray, l2: float, least: float) -> list[tuple]:
 
     Equal gains: missing values to the left first, then the smaller cut.
     """
+    total, gone = sums.sum(1)[:, None, :], sums[:, MISSING][:, None, :]
+    run = np.cumsum(sums[:, 1:], axis=1)[:, :-1]
+    nodes = np.arange(len(sums))
+    kept = total[..., 0] ** 2 / (total[..., 1] + l2)
+    found = []
+    for left in (run + gone, run):
+        right = total - left
+        ok = (left[..., 1] >= least) & (right[..., 1] >= least)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = left[..., 0] ** 2 / (left[..., 1] + l2) + right[..., 0] ** 2 / (right[..., 1] + l2) - kept
+        gain = np.where(ok, gain, -np.inf)
+        at = gain.argmax(1)
+        found.append((gain[nodes, at], at, left[nodes, at], right[nodes, at]))
     out = []
-    for node in sums:
-        total, gone = node.sum(0), node[MISSING]
-        run = np.cumsum(node[1:], axis=0)[:-1]
-        best = None
-        for missing_left in (True, False):
-            left = run + gone if missing_left else run
-            right = total - left
-            ok = (left[:, 1] >= least) & (right[:, 1] >= least)
-            if not ok.any():
-                continue
-            gain = left[:, 0] ** 2 / (left[:, 1] + l2) + right[:, 0] ** 2 / (right[:, 1] + l2) - total[0] ** 2 / (total[1] + l2)
-            gain = np.where(ok, gain, -np.inf)
-            at = int(np.argmax(gain))
-            if best is None or gain[at] > best[0]:
-                best = (float(gain[at]), at + 1, missing_left, left[at].tolist(), right[at].tolist())
-        out.append(best if best and best[0] > 1e-12 * (1 + total[1]) else None)
+    for node, floor in enumerate(1e-12 * (1 + total[:, 0, 1])):
+        side = int(found[1][0][node] > found[0][0][node])
+        gain, at, left, right = (x[node] for x in found[side])
+        out.append((float(gain), int(at) + 1, side == 0, left.tolist(), right.tolist()) if gain > floor else None)
     return out
 
 
@@ -307,8 +311,9 @@ class Booster:
         # Missing values, one bin more than edges, and an empty one, so that all values may part from missing ones.
         width, bins_most = len(edges), max((len(e) for e in edges), default=0) + 3
         start = self.loss.start(*self._middle(rows.where("not val")))
+        tasks = max(1, rows.count() // TASK_ROWS)
         state = materialise(
-            binned(rows.select("id", F.col("y").cast("double").alias("y"), "val", F.xxhash64("id").alias("hash"), "features"), edges, ["id", "y", "val", "hash"]).withColumn("score", F.lit(float(start))),
+            binned(rows.coalesce(tasks).select("id", F.col("y").cast("double").alias("y"), "val", F.xxhash64("id").alias("hash"), "features"), edges, ["id", "y", "val", "hash"]).withColumn("score", F.lit(float(start))),
             "boost-rows",
         )
         trees: list[Tree] = []
@@ -319,7 +324,7 @@ class Booster:
                 written = number
             draw = np.random.default_rng((self.seed, number))
             features = sorted(draw.choice(width, max(1, math.ceil(self.columns * width)), replace=False).tolist()) if width else []
-            tree, judged = self._grow(state, Scorer(trees[written:], width), features, bins_most, number, last=number == self.rounds)
+            tree, judged = self._grow(state, tasks, Scorer(trees[written:], width), features, bins_most, number, last=number == self.rounds)
             history.append(judged)
             if judged is not None and judged < best:
                 best, best_rounds = judged, number
@@ -337,21 +342,25 @@ class Booster:
     def _edges(self, rows: DataFrame) -> list[np.ndarray]:
         """Upper ends of the bins but the last: distinct quantiles of the training values."""
         width = rows.select(F.max(F.size("features"))).first()[0] or 0
-        shares = [i / self.bins for i in range(1, self.bins)]
-        asked = [F.percentile_approx(F.when(~F.isnan(F.col("features")[i]), F.col("features")[i]), shares, EDGE_ACCURACY).alias(f"e{i}") for i in range(width)]
-        found = rows.agg(*asked).first() if width else []
-        tops = rows.agg(*[F.max(F.when(~F.isnan(F.col("features")[i]), F.col("features")[i])).alias(f"m{i}") for i in range(width)]).first() if width else []
+        if not width:
+            return []
+        shares = ", ".join(f"{i / self.bins!r}D" for i in range(1, self.bins))
+        value = "if(isnan(features[{0}]), null, features[{0}])"
+        found = rows.agg(*[F.expr(f"percentile_approx({value.format(i)}, array({shares}), {EDGE_ACCURACY})") for i in range(width)]).first()
+        tops = rows.agg(*[F.expr(f"max({value.format(i)})") for i in range(width)]).first()
         return [np.array(sorted(set(e or []) - {top})) for e, top in zip(found, tops)]
 
     def _middle(self, rows: DataFrame) -> tuple[float, float]:
         mean, median = rows.agg(F.avg("y"), F.percentile_approx("y", 0.5, EDGE_ACCURACY)).first()
         return mean or 0.0, median or 0.0
 
-    def _grow(self, state: DataFrame, scorer: Scorer, features: list[int], bins_most: int, number: int, last: bool) -> tuple[Tree, float | None]:
+    def _grow(self, state: DataFrame, tasks: int, scorer: Scorer, features: list[int], bins_most: int, number: int, last: bool) -> tuple[Tree, float | None]:
         tree, frontier, judged = Tree(), [0], None
         for level in range(1 if last else self.depth):
             partial = state.mapInArrow(_partial(self.loss, scorer, tree, frontier, features, bins_most, self.subsample, self.seed * 100_003 + number), "feature int, sums binary")
-            found = partial.repartition("feature").mapInArrow(_meet(len(frontier), bins_most, self.l2, self.least_weight), SPLIT_SCHEMA).collect()
+            # Every task of a level sends its sums; they meet in tasks of a bounded size.
+            meeting = 1 + len(features) * len(frontier) * bins_most * 16 * tasks // TASK_BYTES
+            found = partial.repartition(meeting, "feature").mapInArrow(_meet(len(frontier), bins_most, self.l2, self.least_weight), SPLIT_SCHEMA).collect()
             best: dict[int, tuple] = {}
             for r in found:
                 if r["feature"] < 0:

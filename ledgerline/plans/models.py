@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
@@ -253,6 +255,12 @@ def tweedie(data: ModelData, power: float, deep: bool = False) -> DataFrame:
     return predictions(fit_boosted(data, data.raw, F.col(Y), "tweedie", deep, power=power), part(data.raw, "val"))
 
 
+def together(*fits: Callable[[], object], at_once: int = 4) -> list:
+    """Results of independent fits, a few of them at a time: their jobs share the cluster."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(fit)) for fit in fits]]
+
+
 # -- hurdles -------------------------------------------------------------------------------
 
 
@@ -266,8 +274,9 @@ def _joined(val: DataFrame, *tables: DataFrame) -> DataFrame:
 def hurdle(data: ModelData, deep: bool = False) -> DataFrame:
     """P(return) times the revenue expected from those who return."""
     rows, val = data.raw, part(data.raw, "val")
-    classifier = fit_classifier(data, rows, F.col(Y) > 0)
-    regressor = fit_boosted(data, rows.filter(F.col(Y) > 0), F.log1p(Y), "absolute", deep)
+    classifier, regressor = together(
+        lambda: fit_classifier(data, rows, F.col(Y) > 0), lambda: fit_boosted(data, rows.filter(F.col(Y) > 0), F.log1p(Y), "absolute", deep)
+    )
     given = predictions(regressor, val, F.expm1).select(ID, at_least(F.col("y_pred"), 0.0).alias("if_returner"))
     both = _joined(val, probabilities(classifier, val, "prob_returner"), given)
     return both.withColumn("y_pred", F.col("prob_returner") * F.col("if_returner"))
@@ -276,8 +285,9 @@ def hurdle(data: ModelData, deep: bool = False) -> DataFrame:
 def mae_hurdle_parts(data: ModelData) -> DataFrame:
     """Return probability and revenue if returning, per validation customer."""
     rows, val = data.raw, part(data.raw, "val")
-    classifier = fit_classifier(data, rows, F.col(Y) > 0)
-    regressor = fit_boosted(data, rows.filter(F.col(Y) > 0), F.col(Y), "absolute", True)
+    classifier, regressor = together(
+        lambda: fit_classifier(data, rows, F.col(Y) > 0), lambda: fit_boosted(data, rows.filter(F.col(Y) > 0), F.col(Y), "absolute", True)
+    )
     given = predictions(regressor, val).select(ID, at_least(F.col("y_pred"), 0.0).alias("if_returner"))
     return _joined(val, probabilities(classifier, val, "prob_returner"), given)
 
@@ -295,10 +305,12 @@ def mae_hurdle_table(parts: DataFrame, thresholds: Sequence[float]) -> DataFrame
 
 def multi_tier_parts(data: ModelData, high: float) -> DataFrame:
     rows, val, y = data.raw, part(data.raw, "val"), F.col(Y)
-    returns = fit_classifier(data, rows, y > 0)
-    is_high = fit_classifier(data, rows.filter(y > 0), y > high)
-    low_model = fit_boosted(data, rows.filter((y > 0) & (y <= high)), y, "absolute")
-    high_model = fit_boosted(data, rows.filter(y > high), F.log1p(Y), "absolute")
+    returns, is_high, low_model, high_model = together(
+        lambda: fit_classifier(data, rows, y > 0),
+        lambda: fit_classifier(data, rows.filter(y > 0), y > high),
+        lambda: fit_boosted(data, rows.filter((y > 0) & (y <= high)), y, "absolute"),
+        lambda: fit_boosted(data, rows.filter(y > high), F.log1p(Y), "absolute"),
+    )
     low = predictions(low_model, val).select(ID, F.col("y_pred").alias("raw_low"))
     above = predictions(high_model, val, F.expm1).select(ID, F.col("y_pred").alias("raw_high"))
     return _joined(
@@ -324,11 +336,10 @@ def high_value_auc(data: ModelData) -> DataFrame:
     )
     sizes = {row["split"]: row for row in counts.collect()}
     tables = []
-    for i, t in enumerate(p.high_value_thresholds):
+    kept = [(i, t) for i, t in enumerate(p.high_value_thresholds) if min(sizes["train"][f"p{i}"], sizes["val"][f"p{i}"]) >= p.min_positives]
+    models = together(*[lambda t=t: fit_classifier(data, data.raw, F.col(Y) > t) for _, t in kept])
+    for (i, t), model in zip(kept, models):
         n_train, n_val = sizes["train"][f"p{i}"], sizes["val"][f"p{i}"]
-        if min(n_train, n_val) < p.min_positives:
-            continue
-        model = fit_classifier(data, data.raw, F.col(Y) > t)
         scored = val.select(ID, Y).join(probabilities(model, val, "prob"), ID)
         table = dx.auc_table(scored, "prob", [t]).select("threshold", "auc")
         tables.append(
@@ -358,11 +369,14 @@ def high_value_auc(data: ModelData) -> DataFrame:
 def cross_validate(rows: DataFrame, columns: Sequence[str], target: str, params: ModelParams) -> DataFrame:
     """Champion per fold: MAE raw and zeroed, Spearman zeroed."""
     dealt = materialise(prep.stratified_folds(rows, ID, target, params.folds, params.seed), "folds")
-    stacked = None
-    for fold in range(params.folds):
+
+    def one(fold: int) -> DataFrame:
         split = F.when(F.col("fold") == fold, "val").otherwise("train")
         data = ModelData(dealt.withColumn("split", split), columns, target, params=params)
-        scored = boosted_absolute(data, rounds=params.fold_rounds).withColumn("fold", F.lit(fold + 1))
+        return materialise(boosted_absolute(data, rounds=params.fold_rounds).withColumn("fold", F.lit(fold + 1)), "fold")
+
+    stacked = None
+    for scored in together(*[lambda fold=fold: one(fold) for fold in range(params.folds)]):
         stacked = scored if stacked is None else stacked.unionByName(scored)
     raw = dx.clipped(materialise(stacked, "fold_scores"))
     zeroed = raw.withColumn("y_pred", zero_below(F.col("y_pred"), params.champion_zero_below))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,3 +77,28 @@ def materialise_by(df: DataFrame, key: str, label: str = "step") -> DataFrame:
     writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
     writer.option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
     return spark.table(name)
+
+
+def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Changes with the name, length or time of any file under ``paths``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    seen = []
+    for path in paths:
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        found = root.getFileSystem(conf).listFiles(root, True)
+        while found.hasNext():
+            status = found.next()
+            seen.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()[:32]
+
+
+def derived(spark: SparkSession, name: str, paths: Sequence[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """Table ``name`` derived from the files under ``paths``, stored in the shared folder under their fingerprint.
+
+    It is built again as soon as one of the files is another; an unfinished one counts as absent.
+    """
+    path = f"{shared_folder(spark)}/{name}-{fingerprint(spark, paths)}"
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.expr import nan_to_null, sentinel_to_null
 from ledgerline.params import REQUIRED_TRANSACTION_COLUMNS, TRANSACTION_DEFAULTS
 from ledgerline.sources import schemas
+from ledgerline.sources.splitting import read_json_array, read_numbered_lines
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -75,24 +76,16 @@ def with_transaction_contract(tx: DataFrame) -> DataFrame:
 
 
 def read_figures(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
-    """Records of a JSON file. Layout "array": one array, read whole by one task. Layout "lines":
-    one record per line, which Spark splits."""
+    """Records of JSON files. Layout "array": each file one array, cut into blocks that many tasks read.
+    Layout "lines": one record per line."""
     if layout not in ("array", "lines"):
         raise ValueError(f"unknown layout {layout!r}")
-    return spark.read.schema(schemas.FIGURES).option("multiLine", layout == "array").json(path)
+    return read_json_array(spark, path, schemas.FIGURES) if layout == "array" else spark.read.schema(schemas.FIGURES).json(path)
 
 
 def read_text_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Log lines with the file they came from and their order inside it.
-
-    The order is the start of the file block, then the row inside the task reading it.
-    """
-    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    return lines.select(
-        F.col("file_path").alias("run_id"),
-        F.struct("file_block_start", F.monotonically_increasing_id().alias("row")).alias("line_no"),
-        F.col("value").alias("line"),
-    )
+    """Log lines with the file they came from and their number in it, from 1."""
+    return read_numbered_lines(spark, path).select(F.col("file").alias("run_id"), "line_no", "line")
 
 
 def read_nodes(spark: SparkSession, path: str) -> DataFrame:
