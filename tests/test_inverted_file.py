@@ -95,3 +95,33 @@ def test_odd_tables(spark):
     more = i.union(spark.createDataFrame([(9, None)], "item_id long, vec array<double>"))
     got = {(r.query_id, r.rank): (r.item_id, r.value) for r in iv.approximate_nearest(q, more, 5).collect()}
     assert got[0, 1] == (0, 1.0) and [got[1, r] for r in (1, 2, 3)] == [(0, 0.0), (1, 0.0), (2, 0.0)] and len(got) == 6
+
+
+def test_a_query_goes_once_to_a_shelf():
+    """What is sent grows with the shelves, not with the lists a query visits."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    rows = iv.unit(rng.normal(size=(600, 8)))
+    book = iv.train(rows, 30, 10, 0.97)
+    held = {one: {(one + block) % 4 for block in range(1 + (one == 3))} for one in range(30)}
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(rows[:20].tolist())], names=["query_id", "vec"])
+    sent = [r for b in iv._probe(book, held)(iter([batch])) for r in b.to_pylist()]
+    assert len(sent) == len({(r["query_id"], r["shelf"]) for r in sent}) <= 20 * 4
+    for i, wanted in enumerate(book.lists(rows[:20])):
+        got = sorted((r["shelf"], one) for r in sent if r["query_id"] == i for one in r["lists"])
+        assert got == sorted((shelf, one) for one in wanted for shelf in held[one])
+
+
+@pytest.mark.parametrize("shelf_rows", [50, 32_768])
+def test_all_lists_and_candidates_give_the_exact_search(spark, monkeypatch, shelf_rows):
+    monkeypatch.setattr(iv, "SHELF_ROWS", shelf_rows)
+    monkeypatch.setattr(iv, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(9)
+    items = rng.normal(size=(400, 6))
+    items[100:200] = items[0]
+    found = iv.approximate_nearest(*frames(spark, items[:50], items), 7, exclude_same=True, recall=1.0, rescored=400, list_rows=20).collect()
+    got = {(r.query_id, r["rank"]): r.item_id for r in found}
+    near = exact(items[:50], items, 8)
+    wanted = {i: [j for j in row if j != i][:7] for i, row in enumerate(near)}
+    assert np.mean([got[i, n + 1] == j for i, row in wanted.items() for n, j in enumerate(row)]) >= 0.97
