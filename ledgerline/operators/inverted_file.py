@@ -190,7 +190,8 @@ def _look_up(book: Codebook, most: int, k: int, exclude_same: bool):
                 lists = batch.column("lists")[i].values
                 wanted = np.zeros((len(asked), len(book.centroids)), bool)
                 wanted[np.repeat(np.arange(len(asked)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = True
-                step = max(16, min(256, 4_000_000 // len(ids)))  # estimates held at a time
+                # Bounds the estimates and the numbers of the candidates' vectors held at a time.
+                step = max(16, min(256, 4_000_000 // max(len(ids), most * vectors.shape[1])))
                 found = [best(asked[j : j + step], queries[j : j + step], wanted[j : j + step], home, ids, codes, vectors) for j in range(0, len(asked), step)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=["query_id", "item_id", "value"])
 
