@@ -123,6 +123,20 @@ def test_splits_are_stratified_and_repeatable(spark):
     assert {(r.n, r.p) for r in folds.collect()} == {(20, 6.0)}
 
 
+def test_shuffled_positions_with_repeated_and_missing_keys(spark):
+    rows = [(k, "x" * 50, float(k or 0)) for k in [1, 1, 2, 3, 3, 3, None, None, 4]]
+    df = spark.createDataFrame(rows, "k bigint, wide string, y double").repartition(4)
+    placed = prep._shuffled(df, "k", 5, [])
+    assert placed.columns == ["k", "wide", "y", "_pos"]
+    order = [r.k for r in sorted(placed.collect(), key=lambda r: r._pos)]
+    assert sorted(r._pos for r in placed.collect()) == list(range(1, 10))
+    assert sorted(order, key=lambda k: k or 0) == [None, None, 1, 1, 2, 3, 3, 3, 4] and order[:2] == [None, None]
+    assert len([k for i, k in enumerate(order) if i == 0 or order[i - 1] != k]) == 5
+    # Whole rows are not gathered for their order: no window over a stratum sees the wide column.
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Window" in line and "sum(" in line and "wide" in line]
+
+
 def test_alignment_raises_on_missing_rows(spark):
     features = spark.createDataFrame([(1, 2.0)], "k bigint, x double")
     with pytest.raises(ValueError, match="alignment"):

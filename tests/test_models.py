@@ -44,6 +44,19 @@ def mae(scored):
     return dx.evaluate(scored.select("cust_id", "y_true", "y_pred").withColumn("model", F.lit("m"))).first().MAE
 
 
+def test_model_rows_are_dealt_evenly(rows, monkeypatch):
+    monkeypatch.setattr(md, "FILE_ROWS", 40)
+    stored = md.ModelData(rows.coalesce(1), COLUMNS, "y", params=P).raw
+    sizes = [r["count"] for r in stored.groupBy(F.input_file_name().alias("f")).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 100 and sum(sizes) == 400
+
+
+def test_tasks_of_a_level_use_the_cores():
+    from ledgerline.plans.boosting import tasks_for
+
+    assert tasks_for(10_000, 12) == 1 and tasks_for(145_000, 12) == 7 and tasks_for(720_000, 12) == 12 and tasks_for(4_300_000, 12) == 24
+
+
 def test_ridge_equals_closed_form(data):
     train = md.part(data.scaled(), "train").collect()
     x, y = np.array([r.vec for r in train]), np.array([r.y_true for r in train])
