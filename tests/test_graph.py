@@ -51,6 +51,21 @@ def test_path_metrics(world, batch):
         assert (got[x].closeness, got[x].betweenness, got[x].in_largest_component) == (0, 0, 0)
 
 
+def test_distances_alone_hold_no_row_per_pair(spark, world, monkeypatch):
+    draw = random.Random(4)
+    pairs = {(str(draw.randrange(70)), str(draw.randrange(70))) for _ in range(85)}
+    links = spark.createDataFrame([(a, b, 1) for a, b in sorted(pairs) if a != b], "source string, target string, weight bigint")
+    nodes = graph.node_table(links, world[2])
+    wanted = {r.id: r for r in graph.path_metrics(links, nodes).drop("betweenness").collect()}
+    monkeypatch.setattr(graph, "_levels", None)
+    monkeypatch.setattr(graph, "WORDS", 1)
+    got = {r.id: r for r in graph.path_metrics(links, nodes, betweenness=False, batch=45).collect()}
+    assert got.keys() == wanted.keys() and max(r.eccentricity for r in got.values()) > 4
+    for k, r in wanted.items():
+        assert (got[k].id, got[k].in_largest_component, got[k].eccentricity) == (r.id, r.in_largest_component, r.eccentricity)
+        assert (got[k].closeness, got[k].harmonic_closeness) == pytest.approx((r.closeness, r.harmonic_closeness))
+
+
 def test_pagerank_and_eigenvector_are_symmetric(spark, world):
     star = spark.createDataFrame([("h", x, 1) for x in "pqrs"], "source string, target string, weight bigint")
     nodes = graph.node_table(star)
