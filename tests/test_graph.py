@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.operators import graph
 from ledgerline.session import materialise
@@ -55,7 +56,9 @@ def test_distances_alone_hold_no_row_per_pair(spark, world, monkeypatch):
     draw = random.Random(4)
     pairs = {(str(draw.randrange(70)), str(draw.randrange(70))) for _ in range(85)}
     links = spark.createDataFrame([(a, b, 1) for a, b in sorted(pairs) if a != b], "source string, target string, weight bigint")
+    # A node given twice.
     nodes = graph.node_table(links, world[2])
+    nodes = materialise(nodes.union(nodes.where(F.col("id").isin(sorted(pairs)[0][0], "g"))), "n")
     wanted = {r.id: r for r in graph.path_metrics(links, nodes).drop("betweenness").collect()}
     monkeypatch.setattr(graph, "_levels", None)
     monkeypatch.setattr(graph, "WORDS", 1)
