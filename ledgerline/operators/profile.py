@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.expr import as_flag, numeric_or_null, ratio_nonzero, stack_columns, whole_days
 from ledgerline.operators.quantiles import column_quantiles, grouped_quantiles
 from ledgerline.params import ProfileParams
+from ledgerline.session import materialise
 
 QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
 
@@ -23,7 +24,11 @@ def as_rows(one_row: DataFrame, columns: Sequence[str], name: str = "statistic",
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles; one row per column."""
+    """Count, mean, sample deviation, extremes and exact quartiles; one row per column.
+
+    The columns are stored first: beyond a size, quartiles read them several times.
+    """
+    df = materialise(df.select(*columns), "described")
     long = df.select(F.inline(stack_columns(columns, "feature", "value")))
     basic = long.groupBy("feature").agg(
         F.count("value").alias("n"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.expr import stack_columns
 from ledgerline.operators.segments import GROUP_ROWS, SEGMENT_ROWS, _fits, running_sum
 from ledgerline.operators.skew import salted_lookup
+from ledgerline.session import materialise
 
 
 def grouped_quantiles(
@@ -29,7 +30,7 @@ def grouped_quantiles(
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     if _fits(rows, keys, group_rows):
         return rows.groupBy(*keys).agg(*[F.percentile("_v", p).alias(n) for n, p in probs.items()])
-    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = materialise(rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")), "value-counts")
     placed = running_sum(counts, keys, ["_v"], "_n", "_upto", 0, segment_rows)
     totals = placed.groupBy(*keys).agg(F.max("_upto").alias("_total"))
     with_total = placed.join(totals, list(keys)) if keys else placed.withColumn("_total", totals.scalar())
