@@ -140,3 +140,31 @@ def test_boosted_losses_beat_linear_models(data):
 def test_comparison_is_sorted(data):
     table = md.compare({"r": ("B", md.ridge(data)), "t": ("B", md.decision_tree(data))}).collect()
     assert [r.MAE for r in table] == sorted(r.MAE for r in table) and {r.group for r in table} == {"B"}
+
+
+@pytest.fixture
+def sizes_asked(monkeypatch):
+    """Sizes that the named queries ask their fits for."""
+    from ledgerline.catalog import revenue_models as named
+
+    asked = {}
+
+    def ask(name):
+        return lambda *a, **k: asked.setdefault(name, next(x for x in (*a, *k.values()) if isinstance(x, ModelParams)))
+
+    for name in ("ModelData", "cross_validate", "final_predictions"):
+        monkeypatch.setattr(md, name, ask(name))
+    for name in ("train_rows", "matrix"):
+        monkeypatch.setattr(named, name, lambda spark, sf_dir: spark.createDataFrame([(1, 0.0)], "cust_id long, revenue_2018_2019 double"))
+    monkeypatch.setattr(named.roles, "test", lambda spark, sf_dir: spark.createDataFrame([(1,)], "cust_id long"))
+    monkeypatch.setattr(named.files, "submission", lambda rows: rows)
+    return asked
+
+
+def test_named_fits_have_all_their_rounds(spark, sizes_asked):
+    from ledgerline.catalog import revenue_models as named
+
+    named.data(spark, "")
+    named.cv(spark, "")
+    named.final_submission(spark, "")
+    assert sizes_asked == {name: ModelParams() for name in ("ModelData", "cross_validate", "final_predictions")}
